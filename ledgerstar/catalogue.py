@@ -65,11 +65,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts = t["lineitem"].groupBy("l_orderkey").agg(F.min("l_suppkey").alias("suppkey"))
     orders = t["orders"].join(firsts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     supplier = joins.Dimension(t["supplier"], {"suppkey": "s_suppkey"}, ["s_name"])
-    with_merchant = joins.join_dimensions(orders, [supplier], "left", spread_by=["o_orderkey"])
+    with_merchant = joins.join_dimensions(
+        orders,
+        [supplier],
+        "left",
+        spread_by=["o_orderkey"],
+        skew_from=t["lineitem"].withColumnRenamed("l_suppkey", "suppkey"),
+    )
     customer = joins.Dimension(
         t["customer"], {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey", "c_mktsegment"]
     )
-    o = joins.join_dimensions(with_merchant, [customer], spread_by=["o_orderkey"])
+    o = joins.star_join(with_merchant, [customer], ["o_orderkey"], skew_from=t["orders"])
     nation = F.col("c_nationkey")
     return o.select(
         F.col("o_orderdate").alias("trans_date_trans_time"),
@@ -366,7 +372,7 @@ def star_join(spark, sf_dir):
     customer = joins.Dimension(
         t["customer"], {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment"]
     )
-    return joins.star_join(lines, [customer])
+    return joins.star_join(lines, [customer], skew_from=t["orders"])
 
 
 def left_key_attach(spark, sf_dir):

@@ -52,12 +52,11 @@ class HotKeys:
 def hot_keys(fact: DataFrame, key_sets: list[list[str]]) -> list[HotKeys]:
     """Find the hot keys of several key sets in one pass over the key columns.
 
-    Each task builds one small frequency sketch per key set; sketches merge in two steps, so
-    neither a task nor the driver sees more than a bounded number of items. The result only
-    steers the layout of a join: a missed key costs time, never rows.
+    Each task builds one small frequency sketch per key set, and groups of tasks merge
+    theirs, so neither a task nor the driver sees more than a bounded number of items. The
+    result only steers the layout of a join: a missed key costs time, never rows.
     """
-    spark = fact.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(HOT_SHARE, 1 / partitions)
     most = math.ceil(1 / share)
     names = [f"_hash{i}" for i in range(len(key_sets))]
@@ -65,24 +64,29 @@ def hot_keys(fact: DataFrame, key_sets: list[list[str]]) -> list[HotKeys]:
         *[F.xxhash64(*keys).alias(name) for keys, name in zip(key_sets, names)],
         F.pmod(F.spark_partition_id(), F.lit(partitions)).alias("_group"),
     )
-    partial = hashed.groupBy("_group").agg(
+    frequent = hashed.groupBy("_group").agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.expr(f"approx_top_k_accumulate({n}, {SKETCH_ITEMS})").alias(n) for n in names],
+        *[F.expr(f"approx_top_k({n}, {2 * most}, {SKETCH_ITEMS})").alias(n) for n in names],
     )
-    merged = partial.agg(
-        F.sum("_rows").alias("_rows"),
-        *[F.expr(f"approx_top_k_combine({n}, {SKETCH_ITEMS})").alias(n) for n in names],
+    all_rows = F.array(
+        F.struct(F.lit(None).cast("bigint").alias("item"), F.col("_rows").alias("count"))
     )
-    found = merged.select(
-        "_rows", *[F.expr(f"approx_top_k_estimate({n}, {most})").alias(n) for n in names]
-    ).first()
-    rows = found["_rows"] or 0
+    counts = (
+        frequent.select(F.posexplode(F.array(*names, all_rows)).alias("keys", "items"))
+        .select("keys", F.inline("items"))
+        .groupBy("keys", "item")
+        .agg(F.sum("count").alias("rows"))
+        .orderBy(F.desc("rows"))
+        .limit(most * len(names) + 1)
+        .collect()
+    )
+    rows = max((r["rows"] for r in counts), default=0)
     result = []
-    for name in names:
-        hot = [item for item in found[name] or [] if item["count"] > rows * share]
-        largest = max((item["count"] for item in hot), default=0)
-        pieces = min(partitions, math.ceil(partitions * largest / rows)) if hot else 1
-        result.append(HotKeys(tuple(item["item"] for item in hot), max(2, pieces)))
+    for i in range(len(names)):
+        hot = [r for r in counts if r["keys"] == i and r["rows"] > rows * share]
+        largest = max((r["rows"] for r in hot), default=0)
+        pieces = max(2, math.ceil(partitions * largest / rows)) if hot else 1
+        result.append(HotKeys(tuple(r["item"] for r in hot), min(pieces, partitions)))
     return result
 
 
@@ -134,17 +138,23 @@ def join_dimensions(
     how: str = "inner",
     null_safe: bool = False,
     spread_by: Sequence[str] = (),
+    skew_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join each dimension to ``fact`` in turn: all fact columns, then the chosen ones.
 
     ``how`` is inner, left, left_semi or left_anti. With ``null_safe``, a null key matches
     a null key. Dimensions that are small enough are left to Catalyst, which broadcasts them.
     ``spread_by`` names fact columns that differ from row to row, used to cut hot keys into
-    pieces; all columns by default, which makes the scan read them all.
+    pieces; all columns by default, which makes the scan read them all. Hot keys are looked
+    for in ``fact``, or in ``skew_from`` where that has the same key columns and is cheaper
+    to read, such as the table the keys came from.
     """
     spread_by = list(spread_by) or fact.columns
     large = [dim for dim in dims if not dim.fits_broadcast()]
-    hot = dict(zip(map(id, large), hot_keys(fact, [list(dim.on) for dim in large])) if large else ())
+    hot = {}
+    if large:
+        keys = fact if skew_from is None else skew_from
+        hot = dict(zip(map(id, large), hot_keys(keys, [list(dim.on) for dim in large])))
     # Small ones first: an inner join may drop rows before the large table moves.
     ordered = sorted(dims, key=lambda dim: id(dim) in hot)
     joined = reduce(
@@ -156,10 +166,13 @@ def join_dimensions(
 
 
 def star_join(
-    fact: DataFrame, dims: list[Dimension], spread_by: Sequence[str] = ()
+    fact: DataFrame,
+    dims: list[Dimension],
+    spread_by: Sequence[str] = (),
+    skew_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner star join; facts with a null or unmatched key drop out, see ``orphan_report``."""
-    return join_dimensions(fact, dims, "inner", spread_by=spread_by)
+    return join_dimensions(fact, dims, "inner", False, spread_by, skew_from)
 
 
 def attach_key(

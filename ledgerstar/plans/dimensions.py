@@ -113,7 +113,10 @@ def build_dimensions(
     The transactions and the customer records feed several outputs, so each is written once
     to the shared folder. ``narrow_fact`` keeps only the nine columns of the silver fact.
     """
-    transactions = materialize(transactions, "transactions")
+    # Grouping turns -0.0 into 0.0; adding zero does so for every row, so that a row's own
+    # key text is that of its group.
+    doubles = {name: F.col(name) + 0.0 for name, type_ in transactions.dtypes if type_ == "double"}
+    transactions = materialize(transactions.withColumns(doubles), "transactions")
     records = materialize(customers(transactions), "customers")
     facts = fact(transactions, shared_cards(records))
     return {

@@ -32,9 +32,9 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write CSV files with a header; null is an empty field, times are in ISO text.
+    """Write CSV files with a header, times as ISO text, spaces at the ends of text kept.
 
-    Spaces at the ends of text are kept.
+    Null is an empty field; empty text is read back as null too.
     """
     text = {
         name: F.col(name).cast("string")

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ledgerstar.session import estimated_bytes
+
+# Up to this size a task can write any one partition, however uneven they are.
+SMALL_WRITE = 1 << 30
+
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Scan a Parquet table.
@@ -33,11 +38,15 @@ def write_partitioned(
     others, for the rerun of single days; otherwise the whole table is replaced.
 
     ``rebalance`` first brings the rows of a partition together, so that a folder gets few
-    files; the adaptive plan splits a partition that is too large, such as one hot day, over
-    several tasks. Input already ordered by day does without.
+    files. On large input the adaptive plan sizes the tasks and splits a partition that is
+    too large, such as one hot day, over several of them. Small input takes its time opening
+    files, so there the tasks share the folders evenly. Input ordered by day needs neither.
     """
-    if rebalance:
+    if rebalance and estimated_bytes(df) > SMALL_WRITE:
         df = df.hint("rebalance", *columns)
+    elif rebalance:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(tasks, *columns)
     writer = df.write.mode("overwrite").partitionBy(*columns)
     overwrite = "dynamic" if replace_touched_only else "static"
     writer.option("partitionOverwriteMode", overwrite).parquet(path)

@@ -51,7 +51,7 @@ def difference(spark_table: pa.Table, duck_table: pa.Table) -> str | None:
 
 def check(spark, con, sf_dir: str, name: str) -> str | None:
     result = spark_entry.queries()[name](spark, sf_dir).toArrow()
-    return difference(result, con.execute(spark_entry.oracle_sql()[name]).to_arrow_table())
+    return difference(result, con.sql(spark_entry.oracle_sql()[name]).to_arrow_table())
 
 
 def main() -> None:

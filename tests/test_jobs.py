@@ -1,0 +1,186 @@
+"""The layers end to end on a small flat file, and their invariants."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstar.operators.checks import DataTestFailure
+from ledgerstar.operators.joins import orphan_keys
+from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
+from ledgerstar.schemas import (
+    BRONZE_FACT,
+    FACT_COLUMNS,
+    LANDING_FACT,
+    RAW_COLUMNS,
+    RAW_SCHEMA,
+    SILVER_CASTS,
+)
+from ledgerstar.sources.parquet import read_parquet
+
+AS_OF = "2026-01-01"
+HEADER = "," + ",".join(RAW_COLUMNS)
+
+
+def line(n, merchant="fraud_Kirlin, Rau and Sons", card=60011, day="2019-01-05", first="Ann", lat=40.5):
+    return (
+        f'{n},{day} 10:00:{n:02d},{card},"{merchant}",travel,{n}.5,{first},Lee,F,"1 Main St, Apt 2",'
+        f'Town,PA,01257,{lat},-75.25,900,"Engineer, ""civil""",2000-12-31,t{n},{1325376000 + n},'
+        f"{n}.0,-{n}.0,{n % 2}"
+    )
+
+
+@pytest.fixture
+def flat(tmp_path):
+    """Two files; the second repeats a row of the first under another index."""
+    first = [line(1), line(2, card=60012, first="Bob"), line(3, merchant="fraud_Other")]
+    second = [line(3, merchant="fraud_Other").replace("3,", "77,", 1), line(4, day="2020-12-31")]
+    paths = []
+    for name, lines in (("a", first), ("b", second)):
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+        paths.append(str(tmp_path / f"{name}.csv"))
+    return paths
+
+
+@pytest.fixture
+def landed(spark, flat, tmp_path):
+    medallion.prepare_landing(spark, flat, str(tmp_path / "landing"), AS_OF)
+    return str(tmp_path / "landing")
+
+
+def test_flat_files_lose_index_and_duplicates(spark, flat):
+    found = dimensions.read_transactions(spark, flat)
+    assert found.columns == RAW_COLUMNS and found.schema == RAW_SCHEMA[1:]
+    assert sorted(r.trans_num for r in found.collect()) == ["t1", "t2", "t3", "t4"]
+
+
+def test_dimensions(spark, flat):
+    built = dimensions.build_dimensions(dimensions.read_transactions(spark, flat), AS_OF)
+    assert built["dim_customer"].count() == 2 and "cc_num" not in built["dim_customer"].columns
+    merchants = {r.merchant: (r.merch_lat, r.merch_long) for r in built["dim_merchant"].collect()}
+    assert merchants == {"fraud_Kirlin, Rau and Sons": (4.0, -4.0), "fraud_Other": (3.0, -3.0)}
+    assert sorted(r.cc_num for r in built["dim_card"].collect()) == [60011, 60012]
+    fact = built["fact_transactions"]
+    assert fact.columns == LANDING_FACT.names and fact.count() == 4
+    for key, name in (("merch_uuid", "dim_merchant"), ("cust_uuid", "dim_customer")):
+        assert orphan_keys(fact, key, built[name], key).isEmpty()
+        assert fact.filter(F.col(key).isNull()).isEmpty()
+
+
+def test_narrow_fact(spark, flat):
+    flat = dimensions.read_transactions(spark, flat)
+    built = dimensions.build_dimensions(flat, AS_OF, narrow_fact=True)
+    assert built["fact_transactions"].columns == FACT_COLUMNS
+
+
+def test_a_shared_card_repeats_its_rows(spark, tmp_path):
+    lines = [line(1, first="Ann"), line(2, first="Bob"), line(3, card=7, first="Cat")]
+    (tmp_path / "f.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    flat = dimensions.read_transactions(spark, [str(tmp_path / "f.csv")])
+    fact = dimensions.build_dimensions(flat, AS_OF)["fact_transactions"]
+    found = sorted((r.trans_num, r.cust_uuid) for r in fact.collect())
+    assert [t for t, _ in found] == ["t1", "t1", "t2", "t2", "t3"]
+    assert len({u for t, u in found if t == "t1"}) == 2
+
+
+def test_negative_zero_is_one_customer(spark, tmp_path):
+    lines = [line(1, lat="0.0"), line(2, lat="-0.0")]
+    (tmp_path / "f.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    flat = dimensions.read_transactions(spark, [str(tmp_path / "f.csv")])
+    built = dimensions.build_dimensions(flat, AS_OF)
+    assert built["dim_customer"].count() == 1
+    assert orphan_keys(
+        built["fact_transactions"], "cust_uuid", built["dim_customer"], "cust_uuid"
+    ).isEmpty()
+
+
+def test_run(spark, landed, tmp_path):
+    out = str(tmp_path / "wh")
+    tables = medallion.run(spark, landed, out, AS_OF)
+    assert {n: t.count() for n, t in tables.items()} == {
+        "dim_card": 2,
+        "dim_customer": 2,
+        "dim_merchant": 2,
+        "fact_transactions": 4,
+    }
+    assert (tmp_path / "wh/bronze/fact_transactions/year=2020/month=12/day=31").is_dir()
+    customer = tables["dim_customer"].filter("first = 'Ann'").first()
+    assert (customer.zip, customer.dob, customer.age) == (1257, datetime.date(2000, 12, 31), 26)
+    assert customer.job == 'Engineer, "civil"' and customer.street == "1 Main St, Apt 2"
+    names = {r.merchant for r in tables["dim_merchant"].collect()}
+    assert names == {" Kirlin, Rau and Sons", " Other"}
+    fact = tables["fact_transactions"]
+    assert set(fact.columns) == {*FACT_COLUMNS, "first", "last", "merchant", "card_provider", "credit_limit"}
+    row = fact.filter("trans_num = 't2'").first()
+    assert (row.cc_num, row["first"], row.amt) == ("60012", "Bob", 2.5)
+    assert row.trans_date_trans_time == datetime.datetime(2019, 1, 5, 10, 0, 2)
+
+
+def test_two_runs_agree(spark, landed, tmp_path):
+    first, second = (
+        medallion.run(spark, landed, str(tmp_path / name), AS_OF) for name in ("one", "two")
+    )
+    for name in first:
+        assert sorted(first[name].collect()) == sorted(second[name].collect())
+
+
+def test_layers_keep_their_rows_and_lost_facts_are_reported(spark, landed, tmp_path):
+    out = str(tmp_path)
+    brz = bronze.bronze(spark, landed, f"{out}/b")
+    slv = silver.silver(spark, f"{out}/b", f"{out}/s")
+    assert brz["fact_transactions"].count() == slv["fact_transactions"].count() == 4
+    assert slv["fact_transactions"].columns == FACT_COLUMNS
+    slv["dim_merchant"] = slv["dim_merchant"].filter("merchant <> ' Other'")
+    tables = gold.gold_tables(slv, AS_OF)
+    lost = {r.dimension: (r.null_rows, r.orphan_rows) for r in gold.lost_facts(slv).collect()}
+    assert lost == {"dim_card": (0, 0), "dim_customer": (0, 0), "dim_merchant": (0, 1)}
+    assert tables["fact_transactions"].count() == 4 - 1
+    failed = gold.gold_test_report(tables).filter("failures > 0")
+    assert failed.isEmpty()
+
+
+def test_gate_stops_a_run_with_repeated_transactions(spark, tmp_path):
+    lines = [line(1, first="Ann"), line(2, first="Bob")]
+    (tmp_path / "f.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    medallion.prepare_landing(spark, [str(tmp_path / "f.csv")], str(tmp_path / "landing"), AS_OF)
+    with pytest.raises(DataTestFailure, match="unique fact_transactions.trans_num: 2"):
+        medallion.run(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), AS_OF)
+
+
+def test_rerun_of_one_day(spark, landed, tmp_path):
+    bronze.bronze_fact(spark, landed, str(tmp_path / "b"))
+    only = read_parquet(spark, str(tmp_path / "b/fact_transactions"), BRONZE_FACT)
+    day = only.filter("year = '2020'").withColumn("amt", F.lit(99.0)).select(*LANDING_FACT.names)
+    dimensions.land({"fact_transactions": day}, str(tmp_path / "again"))
+    found = bronze.bronze_fact(spark, str(tmp_path / "again"), str(tmp_path / "b"), days_only=True)
+    assert sorted((r.trans_num, r.amt) for r in found.collect()) == [
+        ("t1", 1.5), ("t2", 2.5), ("t3", 3.5), ("t4", 99.0),
+    ]
+
+
+def test_quarantine(spark, landed, tmp_path):
+    path = str(tmp_path / "b")
+    df = bronze.bronze_dimension(spark, landed, path, "dim_customer")
+    spoilt = df.withColumn("zip", F.when(F.col("first") == "Bob", "12x").otherwise(F.col("zip")))
+    spoilt.write.parquet(str(tmp_path / "spoilt/dim_customer"))
+    good, bad = silver.silver_dimension_with_quarantine(
+        spark, str(tmp_path / "spoilt"), str(tmp_path / "s"), "dim_customer"
+    )
+    assert [r["first"] for r in good.collect()] == ["Ann"]
+    assert [(r["first"], r.zip) for r in bad.collect()] == [("Bob", "12x")]
+    assert dict(good.dtypes)["zip"] == SILVER_CASTS["dim_customer"]["zip"]
+
+
+def test_anchored_cleaning_and_limit_flag(rows):
+    merchant = rows("merchant string", ("fraud_a_fraud_b",))
+    assert silver.clean_dimension(merchant, "dim_merchant", True).first().merchant == "a_fraud_b"
+    card = rows("card_category string, credit_limit int", ("Gold", 10000), ("Infinite", None))
+    found = [(r.is_top_card) for r in gold.dim_card(card, top_limit=10_000).collect()]
+    assert found == [True, False]
+
+
+def test_silver_does_not_shuffle(spark, landed, tmp_path, capsys):
+    fact = bronze.bronze_fact(spark, landed, str(tmp_path / "b"))
+    silver.silver_fact(fact).explain()
+    text = capsys.readouterr().out
+    assert "Exchange" not in text and "street" not in text
