@@ -29,7 +29,7 @@ from ledgerstar.operators.columns import (
 )
 from ledgerstar.operators.dedup import concat, latest_per_key, sort_rows
 from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
-from ledgerstar.schemas import CUSTOMER_COLUMNS, DAY_PARTITIONS, RAW_COLUMNS, text_schema
+from ledgerstar.schemas import DAY_PARTITIONS, RAW_COLUMNS, text_schema
 from ledgerstar.session import scratch_path
 from ledgerstar.sources.csv import read_csv, write_csv
 from ledgerstar.sources.parquet import read_parquet, write_parquet, write_partitioned
@@ -130,9 +130,9 @@ def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return dimensions.build_dimensions(flat, AS_OF)
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
-    path = scratch_path(spark, "warehouse")
-    return path, medallion.run(spark, landing(spark, sf_dir), path, AS_OF)
+def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The gold tables of the whole run."""
+    return medallion.run(spark, landing(spark, sf_dir), scratch_path(spark, "warehouse"), AS_OF)
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -570,56 +570,77 @@ def bronze_fact(spark, sf_dir):
     return bronze.bronze_fact(spark, landing(spark, sf_dir), scratch_path(spark, "bronze"))
 
 
-def bronze_dim_customer(spark, sf_dir):
+def _bronze_dimension(spark, sf_dir, name):
     out = scratch_path(spark, "bronze")
-    return bronze.bronze_dimension(spark, landing(spark, sf_dir), out, "dim_customer")
+    return bronze.bronze_dimension(spark, landing(spark, sf_dir), out, name)
+
+
+def bronze_dim_customer(spark, sf_dir):
+    return _bronze_dimension(spark, sf_dir, "dim_customer")
+
+
+def bronze_dim_merchant(spark, sf_dir):
+    return _bronze_dimension(spark, sf_dir, "dim_merchant")
+
+
+def bronze_dim_card(spark, sf_dir):
+    return _bronze_dimension(spark, sf_dir, "dim_card")
 
 
 def _silver(spark, sf_dir, name):
-    path = scratch_path(spark, "layers")
-    bronze.bronze(spark, landing(spark, sf_dir), f"{path}/bronze")
-    return silver.silver(spark, f"{path}/bronze", f"{path}/silver")[name]
+    if name == "fact_transactions":
+        table = bronze_fact(spark, sf_dir)
+    else:
+        table = _bronze_dimension(spark, sf_dir, name)
+    return silver.silver({name: table}, scratch_path(spark, "silver"))[name]
 
 
 def silver_dim_customer(spark, sf_dir):
-    return _silver(spark, sf_dir, "dim_customer").select(*CUSTOMER_COLUMNS)
+    return _silver(spark, sf_dir, "dim_customer")
 
 
 def silver_dim_merchant(spark, sf_dir):
     return _silver(spark, sf_dir, "dim_merchant")
 
 
+def silver_dim_card(spark, sf_dir):
+    return _silver(spark, sf_dir, "dim_card")
+
+
 def silver_fact(spark, sf_dir):
     return _silver(spark, sf_dir, "fact_transactions")
 
 
 def gold_dim_card(spark, sf_dir):
-    return warehouse(spark, sf_dir)[1]["dim_card"]
+    return gold.dim_card(silver_dim_card(spark, sf_dir))
+
+
+def gold_dim_card_by_limit(spark, sf_dir):
+    return gold.dim_card(silver_dim_card(spark, sf_dir), top_limit=10_000)
 
 
 def gold_dim_customer(spark, sf_dir):
-    return warehouse(spark, sf_dir)[1]["dim_customer"]
+    return gold.dim_customer(silver_dim_customer(spark, sf_dir), AS_OF)
 
 
 def gold_dim_merchant(spark, sf_dir):
-    return warehouse(spark, sf_dir)[1]["dim_merchant"]
+    return warehouse(spark, sf_dir)["dim_merchant"]
 
 
 def bronze_silver_gold(spark, sf_dir):
-    return warehouse(spark, sf_dir)[1]["fact_transactions"]
+    return warehouse(spark, sf_dir)["fact_transactions"]
 
 
 def gold_tests(spark, sf_dir):
-    return gold.gold_test_report(warehouse(spark, sf_dir)[1])
+    return gold.gold_test_report(warehouse(spark, sf_dir))
 
 
 def gold_lost_facts(spark, sf_dir):
-    """What the gold join would lose if customers without a debt-free segment were missing."""
-    silver_path = f"{warehouse(spark, sf_dir)[0]}/silver"
-    names = ("dim_card", "dim_customer", "dim_merchant", "fact_transactions")
-    found = {name: read_parquet(spark, f"{silver_path}/{name}") for name in names}
-    found["dim_customer"] = found["dim_customer"].filter("job <> 'BUILDING'")
-    return gold.lost_facts(found)
+    """What the gold join would lose if the customers of one segment were missing."""
+    raw = bronze.bronze(spark, landing(spark, sf_dir), scratch_path(spark, "bronze"))
+    cleaned = silver.silver(raw, scratch_path(spark, "silver"))
+    cleaned["dim_customer"] = cleaned["dim_customer"].filter("job <> 'BUILDING'")
+    return gold.lost_facts(cleaned)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -685,10 +706,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_fact_shared_cards": build_fact_shared_cards,
     "bronze_fact": bronze_fact,
     "bronze_dim_customer": bronze_dim_customer,
+    "bronze_dim_merchant": bronze_dim_merchant,
+    "bronze_dim_card": bronze_dim_card,
     "silver_dim_customer": silver_dim_customer,
     "silver_dim_merchant": silver_dim_merchant,
+    "silver_dim_card": silver_dim_card,
     "silver_fact": silver_fact,
     "gold_dim_card": gold_dim_card,
+    "gold_dim_card_by_limit": gold_dim_card_by_limit,
     "gold_dim_customer": gold_dim_customer,
     "gold_dim_merchant": gold_dim_merchant,
     "bronze_silver_gold": bronze_silver_gold,

@@ -352,10 +352,18 @@ from facts""",
     "bronze_dim_customer": f"""
 with {_BUILT} select {_list(f"cast({c} as varchar) as {c}" for c in CUSTOMER_COLUMNS)}
 from customers""",
+    "bronze_dim_merchant": f"""
+with {_BUILT} select {_list(f"cast({c} as varchar) as {c}" for c in MERCHANT_COLUMNS)}
+from merchants""",
+    "bronze_dim_card": f"""
+with {_BUILT} select {_list(f"cast({c} as varchar) as {c}" for c in CARD_COLUMNS)} from cards""",
+    "silver_dim_card": f"with {_GOLD} select {_list(CARD_COLUMNS)} from dim_card",
     "silver_dim_customer": f"with {_GOLD} select {_list(CUSTOMER_COLUMNS)} from dim_customer",
     "silver_dim_merchant": f"with {_GOLD} select {_list(MERCHANT_COLUMNS)} from dim_merchant",
     "silver_fact": f"with {_GOLD} select * from silver_fact",
     "gold_dim_card": f"with {_GOLD} select * from dim_card",
+    "gold_dim_card_by_limit": f"""
+with {_GOLD} select * replace (credit_limit >= 10000 as is_top_card) from dim_card""",
     "gold_dim_customer": f"with {_GOLD} select * from dim_customer",
     "gold_dim_merchant": f"with {_GOLD} select * from dim_merchant",
     "bronze_silver_gold": f"with {_GOLD} select * from fact_transactions",

@@ -16,8 +16,10 @@ def with_day(fact: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
 
 
 def bronze_dimension(spark: SparkSession, landing: str, out: str, name: str) -> DataFrame:
-    write_parquet(read_csv(spark, f"{landing}/{name}", LANDING_DIMENSIONS[name]), f"{out}/{name}")
-    return read_parquet(spark, f"{out}/{name}")
+    """Convert one dimension; every column stays text."""
+    landed = LANDING_DIMENSIONS[name]
+    write_parquet(read_csv(spark, f"{landing}/{name}", landed), f"{out}/{name}")
+    return read_parquet(spark, f"{out}/{name}", landed)
 
 
 def bronze_fact(
@@ -31,6 +33,11 @@ def bronze_fact(
 
 
 def bronze(spark: SparkSession, landing: str, out: str) -> dict[str, DataFrame]:
-    """All four tables."""
+    """All four tables, as written."""
     tables = {name: bronze_dimension(spark, landing, out, name) for name in LANDING_DIMENSIONS}
     return tables | {"fact_transactions": bronze_fact(spark, landing, out)}
+
+
+def read_bronze(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    schemas = LANDING_DIMENSIONS | {"fact_transactions": BRONZE_FACT}
+    return {name: read_parquet(spark, f"{path}/{name}", s) for name, s in schemas.items()}

@@ -34,8 +34,8 @@ def run(
     Each layer reads what the one before wrote and replaces its own tables, so a run that
     broke off is simply started again.
     """
-    bronze(spark, landing, f"{warehouse}/bronze")
-    silver(spark, f"{warehouse}/bronze", f"{warehouse}/silver")
-    tables = gold(spark, f"{warehouse}/silver", f"{warehouse}/gold", as_of)
+    raw = bronze(spark, landing, f"{warehouse}/bronze")
+    cleaned = silver(raw, f"{warehouse}/silver")
+    tables = gold(cleaned, f"{warehouse}/gold", as_of)
     gate(gold_test_report(tables))
     return tables

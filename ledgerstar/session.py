@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Files are compressed; size estimates, and so broadcast decisions, allow for that.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
 }
 

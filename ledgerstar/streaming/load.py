@@ -12,19 +12,18 @@ def load_new_files(
     schema: StructType,
     target: str,
     checkpoint: str,
-    files_per_batch: int | None = None,
+    files_per_batch: int = 10_000,
 ) -> None:
     """Append the Parquet files that arrived at ``source`` since the last call to ``target``.
 
     The checkpoint folder remembers what was loaded, so calling again, also after a failure,
-    neither skips nor repeats a file. ``files_per_batch`` bounds the work of one batch.
-    Nothing is held in memory between calls.
+    neither skips nor repeats a file. All waiting files are loaded; ``files_per_batch`` bounds
+    what a failure has to repeat.
     """
-    reader = spark.readStream.schema(schema)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        reader.parquet(source)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(source)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)

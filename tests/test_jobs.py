@@ -116,6 +116,19 @@ def test_run(spark, landed, tmp_path):
     assert row.trans_date_trans_time == datetime.datetime(2019, 1, 5, 10, 0, 2)
 
 
+def test_layers_can_be_read_back(spark, landed, tmp_path):
+    out = str(tmp_path / "wh")
+    tables = medallion.run(spark, landed, out, AS_OF)
+    again = gold.read_gold(spark, f"{out}/gold")
+    assert {n: sorted(t.collect()) for n, t in again.items()} == {
+        n: sorted(t.collect()) for n, t in tables.items()
+    }
+    raw, cleaned = bronze.read_bronze(spark, f"{out}/bronze"), silver.read_silver(spark, f"{out}/silver")
+    assert raw["fact_transactions"].filter("month = '12'").count() == 1
+    for name, df in cleaned.items():
+        assert df.schema == silver.silver_table(name, raw[name]).schema
+
+
 def test_two_runs_agree(spark, landed, tmp_path):
     first, second = (
         medallion.run(spark, landed, str(tmp_path / name), AS_OF) for name in ("one", "two")
@@ -127,7 +140,7 @@ def test_two_runs_agree(spark, landed, tmp_path):
 def test_layers_keep_their_rows_and_lost_facts_are_reported(spark, landed, tmp_path):
     out = str(tmp_path)
     brz = bronze.bronze(spark, landed, f"{out}/b")
-    slv = silver.silver(spark, f"{out}/b", f"{out}/s")
+    slv = silver.silver(brz, f"{out}/s")
     assert brz["fact_transactions"].count() == slv["fact_transactions"].count() == 4
     assert slv["fact_transactions"].columns == FACT_COLUMNS
     slv["dim_merchant"] = slv["dim_merchant"].filter("merchant <> ' Other'")
@@ -159,13 +172,9 @@ def test_rerun_of_one_day(spark, landed, tmp_path):
 
 
 def test_quarantine(spark, landed, tmp_path):
-    path = str(tmp_path / "b")
-    df = bronze.bronze_dimension(spark, landed, path, "dim_customer")
+    df = bronze.bronze_dimension(spark, landed, str(tmp_path / "b"), "dim_customer")
     spoilt = df.withColumn("zip", F.when(F.col("first") == "Bob", "12x").otherwise(F.col("zip")))
-    spoilt.write.parquet(str(tmp_path / "spoilt/dim_customer"))
-    good, bad = silver.silver_dimension_with_quarantine(
-        spark, str(tmp_path / "spoilt"), str(tmp_path / "s"), "dim_customer"
-    )
+    good, bad = silver.silver_with_quarantine("dim_customer", spoilt, str(tmp_path / "s"))
     assert [r["first"] for r in good.collect()] == ["Ann"]
     assert [(r["first"], r.zip) for r in bad.collect()] == [("Bob", "12x")]
     assert dict(good.dtypes)["zip"] == SILVER_CASTS["dim_customer"]["zip"]
@@ -173,7 +182,7 @@ def test_quarantine(spark, landed, tmp_path):
 
 def test_anchored_cleaning_and_limit_flag(rows):
     merchant = rows("merchant string", ("fraud_a_fraud_b",))
-    assert silver.clean_dimension(merchant, "dim_merchant", True).first().merchant == "a_fraud_b"
+    assert silver.clean("dim_merchant", merchant, True).first().merchant == "a_fraud_b"
     card = rows("card_category string, credit_limit int", ("Gold", 10000), ("Infinite", None))
     found = [(r.is_top_card) for r in gold.dim_card(card, top_limit=10_000).collect()]
     assert found == [True, False]
@@ -181,6 +190,6 @@ def test_anchored_cleaning_and_limit_flag(rows):
 
 def test_silver_does_not_shuffle(spark, landed, tmp_path, capsys):
     fact = bronze.bronze_fact(spark, landed, str(tmp_path / "b"))
-    silver.silver_fact(fact).explain()
+    silver.silver_table("fact_transactions", fact).explain()
     text = capsys.readouterr().out
     assert "Exchange" not in text and "street" not in text
