@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
-``BENCH_SF_DIR`` names the scale folder, ``BENCH_CPUS`` the local cores. Each query runs to
-completion without a sink, or through its own writes; the figure is the median of three runs.
+``BENCH_SF_DIR`` names the scale folder, ``BENCH_CPUS`` the local cores. Each query computes
+every row of its result and writes it nowhere; the figure is the median of three runs.
+``python bench.py all`` times every registered query, ``python bench.py NAME ...`` the named.
 """
 
 from __future__ import annotations
@@ -66,8 +67,9 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
+    names = list(QUERIES) if sys.argv[1:] == ["all"] else sys.argv[1:] or HEADLINES
     seconds = {}
-    for name in HEADLINES:
+    for name in names:
         seconds[name] = round(statistics.median(run(name) for _ in range(RUNS)), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()

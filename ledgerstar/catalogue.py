@@ -30,7 +30,7 @@ from ledgerstar.operators.columns import (
 from ledgerstar.operators.dedup import concat, latest_per_key, sort_rows
 from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
 from ledgerstar.schemas import DAY_PARTITIONS, RAW_COLUMNS, text_schema
-from ledgerstar.session import scratch_path
+from ledgerstar.session import materialize, scratch_path
 from ledgerstar.sources.csv import read_csv, write_csv
 from ledgerstar.sources.parquet import read_parquet, write_parquet, write_partitioned
 from ledgerstar.sources.tables import (
@@ -108,7 +108,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_files(spark: SparkSession, sf_dir: str) -> list[str]:
     """Two flat CSV files with an index column; orders of status O are in both."""
-    rows = transactions(spark, sf_dir)
+    rows = materialize(transactions(spark, sf_dir), "orders")
     index = F.substring("trans_num", 2, 20).cast("bigint")
     paths = []
     for statuses, position in ((("F", "O"), index), (("O", "P"), -index)):

@@ -139,6 +139,13 @@ def test_null_merge_key_matches_null(rows):
     assert sorted(map(tuple, found.collect())) == [(1, None, "n"), (2, "a", "k"), (3, "b", None)]
 
 
+def test_child_rows_are_counted_before_a_large_join(spark, skewed, dim):
+    with no_broadcast(spark):
+        text = plan(orphan_keys(skewed, "key", dim, "dkey"))
+    assert text.index("SortMergeJoin") < text.index("HashAggregate")
+    assert "BroadcastHashJoin" not in text
+
+
 def test_orphans(rows):
     child = rows("id int, k int", (1, 1), (2, 2), (3, 2), (4, None))
     parent = rows("p int", (1,), (1,), (5,))
