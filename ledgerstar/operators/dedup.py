@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,8 +32,17 @@ def latest_per_key(
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def sort_rows(df: DataFrame, ascending: list[str], descending: list[str] = ()) -> DataFrame:
-    """Sort by the ascending columns, then the descending ones; missing values come last."""
-    order: list[Column] = [F.asc_nulls_last(name) for name in ascending]
-    order += [F.desc_nulls_last(name) for name in descending]
-    return df.orderBy(*order)
+def sort_rows(
+    df: DataFrame, ascending: list[str], descending: list[str] | tuple[str, ...] = ()
+) -> DataFrame:
+    """Sort by the ascending columns, then the descending ones; missing values come last.
+
+    Rows that tie are ordered by the other columns. That makes the order repeatable and lets
+    the sort cut a large group of ties into ranges instead of handing it to one task.
+    """
+    others = [name for name in df.columns if name not in {*ascending, *descending}]
+    return df.orderBy(
+        *[F.asc_nulls_last(name) for name in ascending],
+        *[F.desc_nulls_last(name) for name in descending],
+        *[F.asc_nulls_last(name) for name in others],
+    )

@@ -20,8 +20,8 @@ from ledgerstar.session import broadcast_threshold, estimated_bytes
 # A key with at least this share of the rows is salted, or with one shuffle partition's
 # worth where that is more. Smaller skews are left to the adaptive skew join.
 HOT_SHARE = 0.001
-# Items a frequency sketch tracks: its error, about 3.5 / this, stays well below HOT_SHARE.
-SKETCH_ITEMS = 16_384
+# Items a frequency sketch tracks; its error, about 3.5 / this, stays below half of HOT_SHARE.
+SKETCH_ITEMS = 8_192
 
 
 @dataclass(frozen=True)

@@ -59,6 +59,16 @@ def test_sort_puts_missing_last(rows):
     assert found == [("a", 2), ("a", 1), ("a", None), ("b", 3), (None, 1)]
 
 
+def test_ties_are_sorted_over_several_tasks(spark):
+    tied = spark.range(0, 20_000, 1, 4).select(F.lit("same").alias("m"), "id")
+    found = sort_rows(tied, ["m"])
+    assert [r.id for r in found.collect()] == list(range(20_000))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    tasks = sort_rows(tied, ["m"]).select(F.spark_partition_id()).distinct().count()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
+
+
 def test_counts(rows):
     df = rows("a int, b string", (1, "x"), (1, "x"), (1, None), (None, None))
     assert values(row_counts(df)) == [(4, 3, 1)]
