@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstar.functions.dates import day_parts
 from ledgerstar.schemas import BRONZE_FACT, DAY_PARTITIONS, LANDING_DIMENSIONS, LANDING_FACT
+from ledgerstar.session import in_parallel
 from ledgerstar.sources.csv import read_csv
 from ledgerstar.sources.parquet import read_parquet, write_parquet, write_partitioned
 
@@ -18,8 +21,7 @@ def with_day(fact: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
 def bronze_dimension(spark: SparkSession, landing: str, out: str, name: str) -> DataFrame:
     """Convert one dimension; every column stays text."""
     landed = LANDING_DIMENSIONS[name]
-    write_parquet(read_csv(spark, f"{landing}/{name}", landed), f"{out}/{name}")
-    return read_parquet(spark, f"{out}/{name}", landed)
+    return write_parquet(read_csv(spark, f"{landing}/{name}", landed), f"{out}/{name}")
 
 
 def bronze_fact(
@@ -34,8 +36,10 @@ def bronze_fact(
 
 def bronze(spark: SparkSession, landing: str, out: str) -> dict[str, DataFrame]:
     """All four tables, as written."""
-    tables = {name: bronze_dimension(spark, landing, out, name) for name in LANDING_DIMENSIONS}
-    return tables | {"fact_transactions": bronze_fact(spark, landing, out)}
+    jobs = {
+        name: partial(bronze_dimension, spark, landing, out, name) for name in LANDING_DIMENSIONS
+    }
+    return in_parallel(jobs | {"fact_transactions": partial(bronze_fact, spark, landing, out)})
 
 
 def read_bronze(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from ledgerstar.schemas import (
     MERCHANT_COLUMNS,
     RAW_SCHEMA,
 )
-from ledgerstar.session import materialize
+from ledgerstar.session import in_parallel, materialize
 from ledgerstar.sources.csv import read_csv, write_csv
 
 
@@ -129,5 +130,4 @@ def build_dimensions(
 
 def land(tables: dict[str, DataFrame], folder: str) -> None:
     """Write the tables as CSV files with a header, one folder each."""
-    for name, table in tables.items():
-        write_csv(table, f"{folder}/{name}")
+    in_parallel({name: partial(write_csv, df, f"{folder}/{name}") for name, df in tables.items()})

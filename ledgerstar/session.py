@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # What the jobs expect of a session. Partition counts and memory stay with the caller.
 SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -54,6 +59,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs at the same time, so that small ones fill cores a large one leaves.
+
+    Results keep the order of ``jobs``; all jobs end before an error of one is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
+
+
 def broadcast_threshold(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasting is off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()

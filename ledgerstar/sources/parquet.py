@@ -21,8 +21,10 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+    """Write a flat table; returns it as read from ``path``."""
     df.write.mode(mode).parquet(path)
+    return read_parquet(df.sparkSession, path, df.schema)
 
 
 def write_partitioned(
