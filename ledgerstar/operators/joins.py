@@ -85,7 +85,8 @@ def hot_keys(fact: DataFrame, key_sets: list[list[str]]) -> list[HotKeys]:
     for i in range(len(names)):
         hot = [r for r in counts if r["keys"] == i and r["rows"] > rows * share]
         largest = max((r["rows"] for r in hot), default=0)
-        pieces = max(2, math.ceil(partitions * largest / rows)) if hot else 1
+        # Half a partition's worth each, as several pieces may land in one partition.
+        pieces = max(2, math.ceil(2 * partitions * largest / rows)) if hot else 1
         result.append(HotKeys(tuple(r["item"] for r in hot), min(pieces, partitions)))
     return result
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerstar.operators.checks import gate
 from ledgerstar.plans.bronze import bronze
 from ledgerstar.plans.dimensions import build_dimensions, land, read_transactions
-from ledgerstar.plans.gold import gold, gold_test_report
+from ledgerstar.plans.gold import gold, gold_test_report, lost_facts
 from ledgerstar.plans.silver import silver
+from ledgerstar.session import in_parallel
+from ledgerstar.sources.parquet import write_parquet
 
 
 def prepare_landing(
@@ -31,11 +34,19 @@ def run(
 ) -> dict[str, DataFrame]:
     """Bronze, silver, gold, then the data tests; raises when a test fails.
 
+    The test results and the facts lost in the gold join are written below ``reports`` first.
     Each layer reads what the one before wrote and replaces its own tables, so a run that
     broke off is simply started again.
     """
     raw = bronze(spark, landing, f"{warehouse}/bronze")
     cleaned = silver(raw, f"{warehouse}/silver")
     tables = gold(cleaned, f"{warehouse}/gold", as_of)
-    gate(gold_test_report(tables))
+    found = {"data_tests": gold_test_report(tables), "lost_facts": lost_facts(cleaned)}
+    reports = in_parallel(
+        {
+            name: partial(write_parquet, report.coalesce(1), f"{warehouse}/reports/{name}")
+            for name, report in found.items()
+        }
+    )
+    gate(reports["data_tests"])
     return tables

@@ -18,6 +18,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Beyond 2000 shuffle partitions block sizes are averaged; keep those of skewed blocks.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.ansi.enabled": "true",
     # Files are compressed; size estimates, and so broadcast decisions, allow for that.
     "spark.sql.sources.fileCompressionFactor": "3.0",

@@ -158,6 +158,16 @@ def test_gate_stops_a_run_with_repeated_transactions(spark, tmp_path):
     medallion.prepare_landing(spark, [str(tmp_path / "f.csv")], str(tmp_path / "landing"), AS_OF)
     with pytest.raises(DataTestFailure, match="unique fact_transactions.trans_num: 2"):
         medallion.run(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), AS_OF)
+    report = read_parquet(spark, str(tmp_path / "wh/reports/data_tests"))
+    assert report.count() == 29
+    failed = report.filter("failures > 0").collect()
+    assert [(r.table, r.column, r.test, r.failures) for r in failed] == [
+        ("fact_transactions", "trans_num", "unique", 2)
+    ]
+    lost = read_parquet(spark, str(tmp_path / "wh/reports/lost_facts"))
+    assert sorted((r.dimension, r.orphan_rows) for r in lost.collect()) == [
+        ("dim_card", 0), ("dim_customer", 0), ("dim_merchant", 0),
+    ]
 
 
 def test_rerun_of_one_day(spark, landed, tmp_path):

@@ -109,6 +109,14 @@ def test_a_hot_key_is_spread_over_tasks(spark, skewed, dim):
     assert tasks > 1
 
 
+def test_negative_zero_is_the_same_hot_key(spark, rows):
+    fact = rows("id int, k double", *[(i, -0.0) for i in range(60)], *[(60 + i, 0.0) for i in range(30)])
+    dim = rows("p double, v int", (0.0, 1), (5.0, 2))
+    with no_broadcast(spark):
+        joined = star_join(fact, [Dimension(dim, {"k": "p"}, ["v"])])
+        assert "_salt" in plan(joined) and joined.count() == 90
+
+
 def test_composite_keys(spark, rows):
     fact = rows("id int, a int, b string", *[(i, 1, "x") for i in range(50)], (50, 2, "x"), (51, 1, "y"))
     dim = rows("p int, q string, v int", (1, "x", 10), (2, "x", 20))

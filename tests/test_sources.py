@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 import ledgerstar.sources.parquet as parquet
 from ledgerstar.schemas import DAY_PARTITIONS, schema, text_schema
-from ledgerstar.session import broadcast_threshold, materialize, scratch_path, shared_folder
+from ledgerstar.session import (
+    broadcast_threshold,
+    in_parallel,
+    materialize,
+    scratch_path,
+    shared_folder,
+)
 from ledgerstar.sources.csv import read_csv, write_csv
 from ledgerstar.sources.parquet import read_parquet, write_partitioned
 from ledgerstar.sources.tables import (
@@ -164,6 +170,17 @@ def test_scratch_is_below_the_shared_folder(spark, rows):
     assert materialize(df.filter("id > 2"), "m").isEmpty()
 
 
+def test_in_parallel_keeps_order_and_raises():
+    def fail():
+        raise ValueError("broken")
+
+    assert list(in_parallel({"b": lambda: 2, "a": lambda: 1}).items()) == [("b", 2), ("a", 1)]
+    done = []
+    with pytest.raises(ValueError, match="broken"):
+        in_parallel({"bad": fail, "good": lambda: done.append(1)})
+    assert done == [1]
+
+
 @pytest.mark.parametrize(
     "text, size", [("-1", -1), ("10485760b", 10 << 20), ("10MB", 10 << 20), ("1g", 1 << 30), ("5", 5)]
 )
