@@ -9,6 +9,7 @@ from ledgerstar.session import estimated_bytes
 
 # Up to this size a task can write any one partition, however uneven they are.
 SMALL_WRITE = 1 << 30
+SMALL_WRITE_TASKS = 1000
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -48,7 +49,7 @@ def write_partitioned(
         df = df.hint("rebalance", *columns)
     elif rebalance:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(tasks, *columns)
+        df = df.repartition(min(tasks, SMALL_WRITE_TASKS), *columns)
     writer = df.write.mode("overwrite").partitionBy(*columns)
     overwrite = "dynamic" if replace_touched_only else "static"
     writer.option("partitionOverwriteMode", overwrite).parquet(path)

@@ -50,6 +50,15 @@ def test_csv_doubled_quote_in_a_foreign_file(spark, tmp_path):
     assert values(found) == [('say "hi", x', 1257), (None, 2)]
 
 
+def test_csv_line_breaks_in_text_need_an_option_and_never_shift_fields(spark, rows, tmp_path):
+    data = [(1, "two\nlines"), (2, "one")]
+    write_csv(rows("a int, b string", *data), str(tmp_path / "t"))
+    typed = schema({"a": "int", "b": "string"})
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, str(tmp_path / "t"), typed).collect()
+    assert values(read_csv(spark, str(tmp_path / "t"), typed, multiLine=True)) == data
+
+
 def test_csv_times_survive(spark, rows, tmp_path):
     times = [datetime.datetime(2019, 1, 5, 23, 59, 59, 123456), datetime.datetime(2019, 3, 31, 2, 30)]
     write_csv(rows("t timestamp_ntz", *[(t,) for t in times]), str(tmp_path / "t"))
