@@ -45,7 +45,11 @@ def merchants(transactions: DataFrame) -> DataFrame:
         "merchant", "trans_date_trans_time", "trans_num", "merch_lat", "merch_long"
     )
     latest = latest_per_key(
-        seen, ["merchant"], "trans_date_trans_time", ["trans_num", "merch_lat", "merch_long"]
+        seen,
+        ["merchant"],
+        "trans_date_trans_time",
+        ["trans_num", "merch_lat", "merch_long"],
+        few_keys=True,
     )
     return latest.withColumn("merch_uuid", surrogate_key("merchant")).select(*MERCHANT_COLUMNS)
 

@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
+from test_joins import no_broadcast
 
+from ledgerstar.operators import dedup
 from ledgerstar.operators.columns import drop_at
 from ledgerstar.operators.dedup import concat, latest_per_key, sort_rows
 from ledgerstar.operators.profile import (
@@ -47,6 +50,36 @@ def test_latest_is_the_same_for_every_layout(spark, rows):
         assert sorted(values(latest_per_key(df.repartition(parts), ["k"], "ts"))) == wanted
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_latest_of_few_keys_on_large_input(spark, monkeypatch, broadcast, capsys):
+    """As the plain way, with null keys, null and repeated times, -0.0 and NaN."""
+    rng = random.Random(5)
+    times = [None, -0.0, 0.0, 1.0, 2.0, float("nan")]
+    data = [(rng.choice(["a", "b", None]), rng.choice(times), i) for i in range(500)]
+    data += [("no time", None, 3), ("no time", None, 2), ("low", -0.0, 9), ("low", 0.0, 8)]
+    df = spark.createDataFrame(data, "k string, ts double, v int").repartition(5)
+    plain = latest_per_key(df, ["k"], "ts", ["v"])
+    monkeypatch.setattr(dedup, "LARGE_INPUT", 0)
+    if broadcast:
+        found = latest_per_key(df, ["k"], "ts", ["v"], few_keys=True)
+    else:
+        with no_broadcast(spark):
+            found = latest_per_key(df, ["k"], "ts", ["v"], few_keys=True)
+    assert sorted(map(repr, values(found))) == sorted(map(repr, values(plain)))
+    assert found.filter("k = 'no time'").first().v == 2 and found.filter("k = 'low'").first().v == 8
+    found.explain()
+    assert ("BroadcastHashJoin" in capsys.readouterr().out) == broadcast
+
+
+def test_latest_of_text_is_left_to_sorting(rows, monkeypatch, capsys):
+    monkeypatch.setattr(dedup, "LARGE_INPUT", 0)
+    df = rows("k int, ts string, v int", (1, "a", 1), (1, "b", 2), (2, None, 3))
+    found = latest_per_key(df, ["k"], "ts", few_keys=True)
+    assert sorted(values(found)) == [(1, "b", 2), (2, None, 3)]
+    found.explain()
+    assert "Join" not in capsys.readouterr().out
+
+
 def test_latest_prunes_before_the_shuffle(rows, capsys):
     latest_per_key(rows("k int, ts int", (1, 1)), ["k"], "ts").explain()
     text = capsys.readouterr().out
