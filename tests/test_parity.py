@@ -5,6 +5,8 @@ from conftest import SMALL
 from parity import check, connect
 
 import __spark_entry__ as spark_entry
+from ledgerstar.catalogue import QUERIES
+from ledgerstar.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +14,13 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, con, name):
     assert check(spark, con, SMALL, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
