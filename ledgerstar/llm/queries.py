@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact, packing, records, simhash
+from ledgerstar.llm import chat, exact, licenses, packing, pieces, pivots, records, simhash, toxicity, warc
 from ledgerstar.llm.common import table
 from ledgerstar.session import scratch_path
 
@@ -16,6 +16,59 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's three best segmentations, encoded and decoded again."""
+    found = pieces.round_trips(table(spark, sf_dir, "documents"), PIECE_BPE, n=3)
+    return found.select(
+        "doc_id",
+        "n_pieces",
+        "ids_crc32",
+        "same_text",
+        F.get("scores", F.lit(0)).alias("score"),
+        F.get("scores", F.lit(1)).alias("second_score"),
+        F.get("scores", F.lit(2)).alias("third_score"),
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of license phrases, and the labels of all notices, in every document."""
+    found = licenses.scan_documents(table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["phrase"])
+    labels = lambda matches: F.array_join(
+        F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ","
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(F.transform(base, lambda m: m["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda m: m["start"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels("matches").alias("labels"),
+        F.coalesce(
+            F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)
+        ).alias("score"),
+    )
+
+
+def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from each participant's side: its parts, their texts and masks."""
+    parts = chat.perspectives(table(spark, sf_dir, "conversations"))
+    learned = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return parts.select(
+        "conv_id",
+        "speaker",
+        "part",
+        "first_turn",
+        "n_turns",
+        F.char_length("text").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+        learned.alias("n_learned"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as checked binary records and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -23,6 +76,18 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(index)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest products of every fiftieth vector with all others."""
+    vectors = pivots.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return pivots.top_products(vectors, F.col("vec_id") % 50 == 0, top=5)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score, by a grammar fitted on the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,18 +96,73 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as archives read back, with each capture's place in the merged index."""
+    runs = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    places = warc.merge_runs(runs).select("run", "position", "url_key", "place")
+    found = warc.read_archives(runs).join(places, ["run", "position"])
+    return found.drop("run", "position")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_license_scan": op2_license_scan,
+    "op3_chat_perspectives": op3_chat_perspectives,
     "op4_token_records": op4_token_records,
+    "op5_exact_top_k": op5_exact_top_k,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_warc_index_merge": op9_warc_index_merge,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_chat_perspectives": """
+        WITH turns AS (
+            SELECT conv_id, regexp_replace(coalesce(role, 'unknown'), '[|\\r\\n]', '_', 'g') AS role,
+                replace(coalesce(text, ''), '<|', '< |') AS text, turn
+            FROM conversations),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id
+                ORDER BY turn NULLS FIRST, role, text) - 1 AS rank FROM turns),
+        speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'),
+        rendered AS (
+            SELECT n.conv_id, speaker, (rank // 64)::INT AS part, rank, role = speaker AS learn,
+                CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker
+                    THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END
+                    || chr(10) AS header,
+                text || '<|end|>' || chr(10) AS body
+            FROM numbered n JOIN speakers s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
+        placed AS (
+            SELECT *, sum(length(header) + length(body)) OVER (
+                PARTITION BY conv_id, speaker, part ORDER BY rank) AS stop FROM rendered)
+        SELECT conv_id, speaker, part, min(rank) AS first_turn, count(*)::INT AS n_turns,
+            max(stop)::INT AS n_chars,
+            sha256(string_agg(header || body, '' ORDER BY rank)) AS text_sha256,
+            coalesce(sum(length(body)) FILTER (WHERE learn), 0)::INT AS n_learned,
+            coalesce(string_agg((stop - length(body))::INT || '-' || stop::INT, ','
+                ORDER BY rank) FILTER (WHERE learn), '') AS spans
+        FROM placed GROUP BY conv_id, speaker, part
+    """,
+    "op5_exact_top_k": """
+        WITH whole AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS vector
+            FROM embeddings
+            WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_inner_product(q.vector, c.vector)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+        WHERE rank <= 5
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256,
