@@ -6,10 +6,12 @@ import tempfile
 import zipfile
 import zlib
 from array import array
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,7 +103,7 @@ class WordTokenizer:
 
     _of: dict[str, "WordTokenizer"] = {}
 
-    def __init__(self, path: str, most_words: int = 700_000):
+    def __init__(self, path: str, most_words: int = 1_500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -121,38 +123,81 @@ class WordTokenizer:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", e.ids).tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as 16-bit little-endian integers."""
-        # " \n " marks a line break as a word of its own; a word's space belongs to it.
-        words = text.replace("\n", " \n ").split(" ")
+    def _learn(self, words: list[str]) -> None:
+        """Encode words in one text, a line each; only line breaks have the id that parts them."""
+        lines = [w if w[0] == "\n" else f"\n {w}" for w in words]
+        [found] = self.tokenizer.encode_batch_fast(
+            ["".join(lines) + "\n"], add_special_tokens=False
+        )
+        ids = array("H", found.ids)
+        raw, line = ids.tobytes(), ids[0]
+        ends = [2 * at for at, value in enumerate(ids) if value == line]
+        self.words.update(
+            (w, raw[a if w[0] == "\n" else a + 2 : b])
+            for w, a, b in zip(words, ends, ends[1:], strict=False)
+        )
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as 16-bit little-endian integers.
+
+        Words are split and numbered by Arrow, so Python sees each different one once.
+        """
+        if not len(texts):
+            return []
         known = self.words
-        missing = [w for w in set(words) if w not in known]
+        if len(known) > self.most_words:
+            known.clear()
+        # A word stands for "space and word", the first of a line for "line break and word".
+        # Each text gets a line break in front, whose id is dropped again.
+        lines = pc.replace_substring(texts, "\n", " \n")
+        lines = pc.binary_join_element_wise("\n", lines, "").cast(pa.large_string())
+        split = pc.split_pattern(lines, " ")
+        numbered = split.values.dictionary_encode()
+        number = numbered.indices.to_numpy()
+        words = numbered.dictionary.to_pylist()
+        found = list(map(known.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        # An edge that is white space needs the library's own view of the whole text.
+        odd = {w for w in missing if not (bare := w.removeprefix("\n")) or _spaced(bare)}
         if missing:
-            # An edge that is white space needs the library's own view of the whole text.
-            if any(not w or w != "\n" and (w[0].isspace() or w[-1].isspace()) for w in missing):
-                return self._library([text])[0]
-            if len(known) > self.most_words:
-                known.clear()
-                missing = list(set(words))
-            # A word stands for "space and word", a line break for itself.
-            spaced = [w if w == "\n" else f" {w}" for w in missing]
-            known.update(zip(missing, self._library(spaced)))
-        if "\n" not in text:
-            return self._bare(words[0]) + b"".join(map(known.__getitem__, words[1:]))
-        parts = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            parts.append(self._bare(first) + b"".join(map(known.__getitem__, rest)))
-        return known["\n"].join(parts)
-
-    def _bare(self, word: str) -> bytes:
-        """A word at the start of a line, without a space before it; no other key has text after a line break."""
-        key = "\n" + word
-        found = self.words.get(key)
-        if found is None:
-            found = self.words[key] = self._library([word])[0]
-        return found
+            if learn := [w for w in missing if w not in odd]:
+                self._learn(learn)
+            found = [known.get(w, b"") if ids is None else ids for w, ids in zip(words, found)]
+        ids = np.frombuffer(b"".join(found), "<u2")
+        ends = np.cumsum([len(i) // 2 for i in found])
+        by_word = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), ids)
+        taken = by_word.take(pa.array(number))
+        # Where each text ends, by words and then by ids.
+        stops = taken.offsets.to_numpy()[split.offsets.to_numpy()]
+        raw = taken.values.to_numpy().tobytes()
+        result = [raw[2 * a + 2 : 2 * b] for a, b in zip(stops.tolist(), stops[1:].tolist())]
+        if odd:
+            at = [i for i, w in enumerate(words) if w in odd]
+            places = np.flatnonzero(np.isin(number, at))
+            rows = np.searchsorted(split.offsets.to_numpy(), places, "right") - 1
+            rows = np.unique(rows).tolist()
+            for row, ids in zip(rows, self._whole([texts[i].as_py() for i in rows])):
+                result[row] = ids
+        return result
+
+
+def _spaced(word: str) -> bool:
+    return word[0].isspace() or word[-1].isspace()
+
+
+def text_batches(
+    batches: Iterator[pa.RecordBatch], size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Rows together until a batch has about ``size`` bytes."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.nbytes for b in waiting) >= size:
+            yield pa.concat_batches(waiting)
+            waiting = []
+    if waiting:
+        yield pa.concat_batches(waiting)

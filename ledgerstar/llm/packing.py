@@ -9,7 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import WordTokenizer, crc32_of_ids, id_and_text, ready_workers
+from ledgerstar.llm.common import (
+    WordTokenizer,
+    crc32_of_ids,
+    id_and_text,
+    ready_workers,
+    text_batches,
+)
 from ledgerstar.session import materialize
 
 #: Items that one task packs at a time.
@@ -33,10 +39,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 204
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordTokenizer.of(tokenizer).encode
         end = struct.pack("<H", end_id)
-        for batch in batches:
+        for batch in text_batches(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encode(text.as_py()) + end
+            encoded = encode(batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                ids += end
                 length = len(ids) // 2
                 starts = [0, *range(length % capacity or capacity, length, capacity)]
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], length])):
@@ -173,8 +180,8 @@ def sequences(docs: DataFrame, packing: DataFrame, tokenizer: str, end_id: int =
         tokens = WordTokenizer.of(tokenizer).encode
         end = struct.pack("<H", end_id)
         for batch in batches:
-            ids = [struct.unpack(f"<{len(b) // 2}H", b) for b in
-                   (tokens(t.as_py()) + end for t in batch.column("text"))]
+            encoded = [i + end for i in tokens(batch.column("text"))]
+            ids = [struct.unpack(f"<{len(i) // 2}H", i) for i in encoded]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )

@@ -17,7 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import File, WordTokenizer, crc32_of_ids, id_and_text, ready_workers
+from ledgerstar.llm.common import (
+    File,
+    WordTokenizer,
+    crc32_of_ids,
+    id_and_text,
+    ready_workers,
+    text_batches,
+)
 from ledgerstar.llm.crc32c import crc32c, masked
 
 _HEAD = struct.Struct("<QI")
@@ -94,10 +101,10 @@ def write_records(
         end = struct.pack("<H", end_id)
         part = TaskContext.get().partitionId()
         file, out, position = f"{folder}/{part:06d}-{uuid.uuid4().hex}.rec", None, 0
-        for batch in batches:
+        for batch in text_batches(batches):
             out = out or File.create(file)
             doc_ids = batch.column("doc_id").to_pylist()
-            ids = [encode(t.as_py()) + end for t in batch.column("text")]
+            ids = [i + end for i in encode(batch.column("text"))]
             framed = frames([serialize(d, i) for d, i in zip(doc_ids, ids)])
             out.write(b"".join(framed))
             lengths = [len(f) for f in framed]
