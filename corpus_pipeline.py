@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact, packing, simhash
+from ledgerstar.llm import exact, packing, simhash, toxicity
 from ledgerstar.llm.common import table
 from ledgerstar.llm.queries import BYTE_BPE
 from ledgerstar.session import materialize
@@ -20,21 +20,43 @@ from ledgerstar.session import materialize
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is kept; a null id matches a null id."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of the threshold or more go; each row is judged alone."""
+    return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays."""
-    return _only(docs, exact.exact_duplicates(docs).filter("kept"))
+    """Of equal texts the row with the largest id stays, of repeated rows one of them."""
+    found = materialize(exact.exact_duplicates(docs), "copies")
+    names, digest = docs.columns, _free(docs, "digest")
+    texts = docs.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")), 256))
+    gone = found.filter(~F.col("kept")).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_digest")
+    )
+    same = texts["doc_id"].eqNullSafe(gone["gone_id"]) & (texts[digest] == gone["gone_digest"])
+    left = texts.join(gone.distinct(), same, "left_anti")
+    repeats = found.filter("kept").groupBy("doc_id", "text_sha256").count().filter("count > 1")
+    if not repeats.isEmpty():
+        left = left.dropDuplicates(["doc_id", digest])
+    return left.select(*[left[c] for c in names])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays."""
+    """Of each group of linked fingerprints the document with the smallest id stays.
+
+    Rows without an id are dropped if their group has an id, else nothing tells them apart.
+    """
     found = simhash.near_duplicates(docs)
-    return _only(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = gone.select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +64,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("best_fit_packing", pack),

@@ -283,6 +283,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     return grammar
 
 
+def clean(docs: DataFrame, grammar: Grammar, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below the threshold."""
+    ready_workers(docs.sparkSession)
+
+    @F.arrow_udf("double")
+    def rate(texts: pa.Array) -> pa.Array:
+        return pa.array([grammar.score(t.as_py()) for t in texts], pa.float64())
+
+    return docs.filter(rate(F.coalesce(F.col(text_column), F.lit(""))) < THRESHOLD)
+
+
 def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document, from its whole text alone.
 
