@@ -202,8 +202,18 @@ def _long(size: int):
     return lambda w: F.char_length(w) > size
 
 
+def _stem(size: int):
+    return lambda w: F.concat(F.substring(w, 1, size), F.lit("*"))
+
+
 def _lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems that occur in toxic texts far beyond chance, with their log-odds."""
+    """Words and stems that occur in toxic texts far beyond chance, with their log-odds.
+
+    Copies of a text would make all its words look telling, so each different text counts once.
+    """
+    sample = sample.groupBy(F.sha2("text", 256).alias("digest")).agg(
+        F.max("toxic").alias("toxic"), F.max("text").alias("text")
+    )
     totals = sample.agg(F.count(F.lit(1)).alias("all"), F.sum("toxic").alias("toxic")).first()
     n, n1 = totals["all"], totals["toxic"] or 0
     words = {w: 4.0 for w in INSULTS}
@@ -211,10 +221,7 @@ def _lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         return words, {}
     # Java's \W is that of ASCII unless told otherwise.
     once = F.filter(F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+")), _long(2))
-    stems = [
-        F.transform(F.filter("w", _long(k)), lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*")))
-        for k in STEMS
-    ]
+    stems = [F.transform(F.filter("w", _long(k)), _stem(k)) for k in STEMS]
     forms = F.explode(F.array_distinct(F.concat("w", *stems))).alias("form")
     texts = sample.withColumn("w", once)
     toxic = texts.filter("toxic = 1").select(forms).groupBy("form")
