@@ -7,6 +7,7 @@ import numpy as np
 _POLYNOMIAL = 0x82F63B78  # fixed value: the reflected Castagnoli polynomial
 _MASK_DELTA = 0xA282EAD8  # fixed value: of the record format
 _LANE = 256  # bytes that are summed side by side
+_SHORT = 16  # bytes below which an item is summed by itself
 
 
 def _table16() -> np.ndarray:
@@ -18,6 +19,8 @@ def _table16() -> np.ndarray:
 
 
 _TABLE = _table16()
+# The remainder of each byte, for items that are not worth a lane.
+_BYTE = [int(_TABLE[b << 8]) for b in range(256)]
 
 
 def _after_zeros(crc: np.ndarray, length: int) -> np.ndarray:
@@ -31,12 +34,11 @@ _LOW = _after_zeros(np.arange(1 << 16, dtype=np.uint32), _LANE).tolist()
 _HIGH = _after_zeros(np.arange(1 << 16, dtype=np.uint32) << 16, _LANE).tolist()
 
 
-def _one(data: bytes) -> int:
+def short_crc32c(data: bytes) -> int:
+    """CRC-32C of a few bytes, one by one."""
     crc = 0xFFFFFFFF
     for byte in data:
-        crc ^= byte
-        for _ in range(8):
-            crc = (crc >> 1) ^ (_POLYNOMIAL if crc & 1 else 0)
+        crc = _BYTE[(crc ^ byte) & 0xFF] ^ (crc >> 8)
     return crc ^ 0xFFFFFFFF
 
 
@@ -47,26 +49,29 @@ def crc32c(items: list[bytes]) -> list[int]:
     as flipping the first 32 bits. So items are padded in front to whole lanes, all lanes are
     summed in step, and the lanes of an item are folded in order.
     """
-    lanes = [-(-len(x) // _LANE) for x in items]
+    lanes = [-(-len(x) // _LANE) if len(x) >= _SHORT else 0 for x in items]
     buffer = np.zeros(sum(lanes) * _LANE, np.uint8)
     end = 0
     for item, count in zip(items, lanes):
         end += count * _LANE
-        if len(item) >= 4:
+        if count:
             start = end - len(item)
             buffer[start:end] = np.frombuffer(item, np.uint8)
             buffer[start : start + 4] ^= 0xFF
     steps = np.ascontiguousarray(buffer.view("<u2").reshape(-1, _LANE // 2).T)
     crc = np.zeros(steps.shape[1], np.uint32)
-    for step in steps:
-        crc = _TABLE[(crc ^ step) & 0xFFFF] ^ (crc >> 16)
+    low = np.empty(len(crc), np.uint16)
+    for step in steps if len(crc) else ():
+        np.bitwise_xor(crc.astype(np.uint16), step, out=low)
+        crc >>= np.uint32(16)
+        crc ^= _TABLE.take(low)
     sums = iter(crc.tolist())
     found = []
     for item, count in zip(items, lanes):
         total = 0
         for _ in range(count):
             total = _LOW[total & 0xFFFF] ^ _HIGH[total >> 16] ^ next(sums)
-        found.append(total ^ 0xFFFFFFFF if len(item) >= 4 else _one(item))
+        found.append(total ^ 0xFFFFFFFF if count else short_crc32c(item))
     return found
 
 

@@ -25,7 +25,7 @@ from ledgerstar.llm.common import (
     ready_workers,
     text_batches,
 )
-from ledgerstar.llm.crc32c import crc32c, masked
+from ledgerstar.llm.crc32c import crc32c, masked, short_crc32c
 
 _HEAD = struct.Struct("<QI")
 _SUM = struct.Struct("<I")
@@ -59,7 +59,7 @@ def unframe(stream: pa.NativeFile, batch_bytes: int = 4 << 20) -> Iterator[bytes
         if len(head) < _HEAD.size:
             raise ValueError("the file ends inside a length")
         length, length_sum = _HEAD.unpack(head)
-        if masked(crc32c([head[:8]]))[0] != length_sum:
+        if masked([short_crc32c(head[:8])])[0] != length_sum:
             raise ValueError("a length does not match its checksum")
         body = stream.read(length + _SUM.size)
         if len(body) < length + _SUM.size:
