@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
+import uuid
 import zipfile
 import zlib
 from array import array
@@ -16,6 +17,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerstar.session import shared_folder
+
 #: Rows of an Arrow batch of whole texts; very long texts must not pile up in one batch.
 TEXT_BATCH_ROWS = 256
 
@@ -39,17 +42,20 @@ def ready_workers(spark: SparkSession) -> None:
     """Let Python workers import this package, and bound the rows that go to one at once.
 
     One text may have megabytes, so batches are small. The package goes to the executors as
-    a zip file, once per application, as any job's own code does.
+    a zip file in the shared folder, once per application, as any job's own code does.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="ledgerstar-")) / "ledgerstar.zip"
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
             for file in sorted(root.rglob("*.py")):
                 out.write(file, str(file.relative_to(root.parent)))
-        spark.sparkContext.addPyFile(str(archive))
+        archive = f"{shared_folder(spark)}/ledgerstar/code-{uuid.uuid4().hex}/ledgerstar.zip"
+        with File.create(archive) as stream:
+            stream.write(packed.getvalue())
+        spark.sparkContext.addPyFile(archive)
         _shipped.add(application)
 
 
@@ -72,7 +78,10 @@ class File:
 
     @staticmethod
     def _resolve(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-        return pyarrow.fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+        scheme, found, rest = uri.partition(":/")
+        if not found or scheme == "file":  # "/x", "file:/x" and "file:///x" are one place
+            uri = f"file:///{(rest if found else uri).lstrip('/')}"
+        return pyarrow.fs.FileSystem.from_uri(uri)
 
     @classmethod
     def create(cls, uri: str) -> pa.NativeFile:
