@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +35,23 @@ _SIZE_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    A folder that the caller gave to ``setCheckpointDir`` since then goes before it. Only a
+    local session with neither gets a folder of its own; on a cluster, a folder below ``/tmp``
+    of each machine is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()  # below the named one unless set anew
+    if named and current and urlsplit(current).path.startswith(urlsplit(named).path):
+        current = None
+    folder = current or named
     if folder:
+        parts = urlsplit(folder)
+        if (
+            parts.scheme in ("", "file")
+            and parts.path.startswith("/tmp/")
+            and not spark.sparkContext.master.startswith("local")
+        ):
+            raise RuntimeError(f"executors do not share {folder}; set spark.checkpoint.dir")
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
@@ -44,9 +60,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; two calls never share one."""
-    return f"{shared_folder(spark)}/ledgerstar/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/ledgerstar/{name}-{uuid.uuid4().hex}"
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; none is fine."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that are made inside, at the end, also after an error.
+
+    Frames that read them must not be used afterwards; write the results inside.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -67,7 +111,7 @@ def in_parallel(jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
     Results keep the order of ``jobs``; all jobs end before an error of one is raised.
     """
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
     return {name: job.result() for name, job in running.items()}
 
 

@@ -19,13 +19,15 @@ def read_csv(
 ) -> DataFrame:
     """Scan CSV files.
 
-    With ``schema`` nothing is read before the job runs, column names are checked against
-    the header, and a malformed value fails the job instead of turning into null. Without
-    one, every column is text, or typed from an extra pass over the data with ``infer``.
+    With ``schema`` nothing is read before the job runs, and column names are checked against
+    the header of every file; an unnamed cell there is the name "". Without one, every column
+    is text, or typed from an extra pass over the data with ``infer``. A malformed value, or a
+    row with too many or too few fields, fails the job instead of losing or nulling fields.
+    Texts with line breaks need ``multiLine=True``, which reads each file in one task.
     """
-    reader = spark.read.options(**_QUOTING)
+    reader = spark.read.options(**_QUOTING, mode="FAILFAST")
     if schema is not None:
-        reader = reader.schema(schema).options(enforceSchema=False, mode="FAILFAST")
+        reader = reader.schema(schema).options(enforceSchema=False)
     elif infer:
         reader = reader.options(inferSchema=True, preferDate=True)
     return reader.options(**options).csv(path)

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ledgerstar.session import estimated_bytes
-
-# Up to this size a task can write any one partition, however uneven they are.
-SMALL_WRITE = 1 << 30
-SMALL_WRITE_TASKS = 1000
-
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Scan a Parquet table.
@@ -34,6 +28,7 @@ def write_partitioned(
     columns: list[str],
     replace_touched_only: bool = False,
     rebalance: bool = True,
+    even_folders: bool = False,
 ) -> None:
     """Write a Parquet table in folders by ``columns``.
 
@@ -41,15 +36,18 @@ def write_partitioned(
     others, for the rerun of single days; otherwise the whole table is replaced.
 
     ``rebalance`` first brings the rows of a partition together, so that a folder gets few
-    files. On large input the adaptive plan sizes the tasks and splits a partition that is
-    too large, such as one hot day, over several of them. Small input takes its time opening
-    files, so there the tasks share the folders evenly. Input ordered by day needs neither.
+    files: the adaptive plan sizes the tasks, merges thin partitions and splits one that is too
+    large, such as a hot day, over several tasks. Input ordered by day does not need it.
+
+    ``even_folders`` shares the folders evenly among the tasks instead, for very many thin
+    partitions, where opening files takes the time. A task then writes whole partitions,
+    however large, so it is for input whose largest partition one task can write.
     """
-    if rebalance and estimated_bytes(df) > SMALL_WRITE:
-        df = df.hint("rebalance", *columns)
-    elif rebalance:
+    if even_folders:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(min(tasks, SMALL_WRITE_TASKS), *columns)
+        df = df.repartition(tasks, *columns)
+    elif rebalance:
+        df = df.hint("rebalance", *columns)
     writer = df.write.mode("overwrite").partitionBy(*columns)
     overwrite = "dynamic" if replace_touched_only else "static"
     writer.option("partitionOverwriteMode", overwrite).parquet(path)

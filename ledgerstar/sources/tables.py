@@ -49,8 +49,17 @@ def empty_table_like(spark: SparkSession, name: str, like_path: str, path: str)
     return spark.table(name)
 
 
-def copy_into(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Append the Parquet files at ``path`` to a table, matching columns by name."""
+def copy_into(
+    spark: SparkSession, name: str, path: str, mode: str = "overwrite"
+) -> DataFrame:
+    """Load the Parquet files at ``path`` into a table, matching columns by name.
+
+    By default they replace its rows, so a load that is run again changes nothing.
+    ``mode="append"`` adds them to what is there, and adds them again in each call.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode}")
     columns = spark.table(name).columns
-    spark.read.parquet(path).select(*columns).write.insertInto(name)
+    loaded = spark.read.parquet(path).select(*columns)
+    loaded.write.insertInto(name, overwrite=mode == "overwrite")
     return spark.table(name)

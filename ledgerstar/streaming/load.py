@@ -17,12 +17,15 @@ def load_new_files(
     """Append the Parquet files that arrived at ``source`` since the last call to ``target``.
 
     The checkpoint folder remembers what was loaded, so calling again, also after a failure,
-    neither skips nor repeats a file. All waiting files are loaded; ``files_per_batch`` bounds
-    what a failure has to repeat.
+    neither skips nor repeats a file, however old its modification time is: the source's own
+    age limit, which would drop late files, is set to a century. So the names of all files stay
+    in the checkpoint; move files that are done to another folder before they are millions.
+    All waiting files are loaded; ``files_per_batch`` bounds what a failure has to repeat.
     """
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")
         .parquet(source)
         .writeStream.format("parquet")
         .outputMode("append")

@@ -1,16 +1,19 @@
 """Readers, writers, tables and incremental loads."""
 
 import datetime
+import os
+import time
+from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
-import ledgerstar.sources.parquet as parquet
 from ledgerstar.schemas import DAY_PARTITIONS, schema, text_schema
 from ledgerstar.session import (
     broadcast_threshold,
     in_parallel,
     materialize,
+    scratch,
     scratch_path,
     shared_folder,
 )
@@ -116,8 +119,7 @@ def test_one_day_is_replaced_and_the_rest_stays(spark, days, tmp_path):
     assert found.filter("month = '12'").count() == 200
 
 
-def test_a_hot_day_is_split_over_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(parquet, "SMALL_WRITE", 0)
+def test_a_hot_day_is_split_over_files(spark, tmp_path):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(name, "20KB")
     hot = spark.range(0, 40_000, 1, 8).select(
@@ -132,8 +134,9 @@ def test_a_hot_day_is_split_over_files(spark, tmp_path, monkeypatch):
     assert read_parquet(spark, str(tmp_path / "t")).count() == 40_000
 
 
-def test_small_write_makes_one_file_per_day(spark, days, tmp_path):
-    write_partitioned(days, str(tmp_path / "t"), DAY_PARTITIONS)
+@pytest.mark.parametrize("even", [True, False])
+def test_thin_days_have_one_file_each(spark, days, tmp_path, even):
+    write_partitioned(days, str(tmp_path / "t"), DAY_PARTITIONS, even_folders=even)
     for folder in (tmp_path / "t").glob("year=*/month=*/day=*"):
         assert len(list(folder.glob("*.parquet"))) == 1
 
@@ -145,7 +148,10 @@ def test_tables(spark, rows, tmp_path):
     empty = empty_table_like(spark, "tbl_loaded", str(tmp_path / "p"), str(tmp_path / "l"))
     assert empty.count() == 0 and empty.dtypes == df.dtypes
     copy_into(spark, "tbl_loaded", str(tmp_path / "p"))
-    assert copy_into(spark, "tbl_loaded", str(tmp_path / "p")).count() == 4
+    assert copy_into(spark, "tbl_loaded", str(tmp_path / "p")).count() == 2
+    assert copy_into(spark, "tbl_loaded", str(tmp_path / "p"), mode="append").count() == 4
+    with pytest.raises(ValueError):
+        copy_into(spark, "tbl_loaded", str(tmp_path / "p"), mode="merge")
     saved = save_table(df, "tbl_saved", str(tmp_path / "s"))
     assert values(save_table(saved.limit(0).unionAll(df), "tbl_saved2", str(tmp_path / "s2"))) == values(df)
     as_view(df, "some_view")
@@ -170,6 +176,54 @@ def test_each_file_is_loaded_once(spark, rows, tmp_path):
     assert values(read_parquet(spark, target)) == sorted([(i,) for i in range(30)], key=repr)
 
 
+def test_late_files_are_loaded_too(spark, rows, tmp_path):
+    """Each file is older than the one before, the last by far more than a week."""
+    drop, target, progress = (tmp_path / n for n in ("drop", "target", "progress"))
+    for batch in range(4):
+        part = tmp_path / f"part{batch}"
+        rows("id int", *[(batch * 10 + i,) for i in range(10)]).coalesce(1).write.parquet(str(part))
+        [file] = part.glob("*.parquet")
+        drop.mkdir(exist_ok=True)
+        then = time.time() - batch * 30 * 86_400
+        os.utime(file, (then, then))
+        file.rename(drop / file.name)
+        if batch:  # the first two together, one file per batch
+            schema_ = spark.read.parquet(str(drop)).schema
+            load_new_files(spark, str(drop), schema_, str(target), str(progress), 1)
+            assert read_parquet(spark, str(target)).count() == (batch + 1) * 10
+
+
+@pytest.mark.parametrize("text", ["k,v\n1,2\n4,5,6\n", "k,v\n1,2\n4\n"])
+@pytest.mark.parametrize("infer", [True, False])
+def test_ragged_rows_fail_without_a_schema(spark, tmp_path, text, infer):
+    (tmp_path / "t.csv").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, str(tmp_path / "t.csv"), infer=infer).collect()
+
+
+def test_scratch_of_a_scope_is_deleted(spark, rows):
+    df = rows("id int", (1,))
+    with scratch(spark):
+        made = in_parallel({n: lambda: materialize(df, "gone") for n in "ab"})
+        paths = [t.inputFiles()[0] for t in made.values()]
+        assert all(os.path.exists(urlsplit(p).path) for p in paths)
+    assert not any(os.path.exists(urlsplit(p).path) for p in paths)
+    stays = materialize(df, "stays").inputFiles()[0]
+    with pytest.raises(KeyError), scratch(spark):
+        lost = materialize(df, "lost").inputFiles()[0]
+        raise KeyError
+    assert os.path.exists(urlsplit(stays).path) and not os.path.exists(urlsplit(lost).path)
+
+
+def test_a_folder_set_anew_is_honoured(spark, tmp_path):
+    before = shared_folder(spark)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        assert str(tmp_path) in shared_folder(spark)
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
+
+
 def test_scratch_is_below_the_shared_folder(spark, rows):
     folder = shared_folder(spark)
     paths = {scratch_path(spark, "x") for _ in range(10)}
