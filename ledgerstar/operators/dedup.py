@@ -6,12 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from ledgerstar.session import broadcast_threshold, estimated_bytes, materialize
-
-# From this size on, a second scan costs less than sorting every row.
-LARGE_INPUT = 1 << 30
+from ledgerstar.session import materialize
 
 
 def concat(*frames: DataFrame) -> DataFrame:
@@ -32,13 +28,14 @@ def latest_per_key(
     result is the same in each run. Filtering on row number 1 lets Spark keep one row per
     key and task before the shuffle, so a hot key never moves more rows than there are tasks.
 
-    ``few_keys`` says that there are far fewer keys than rows. Then on large input the
-    greatest ``newest`` of each key is found first, by hashing, and only rows that have it
-    are sorted. ``df`` is read twice for that, so it should be cheap to read.
+    ``few_keys`` says that there are far fewer keys than rows. Then the greatest ``newest``
+    of each key is found first, by hashing, and only rows that have it are sorted. ``df`` is
+    read twice for that, so it should be cheap to read; ``newest`` is not text, which Spark
+    does not aggregate by hashing.
     """
     if tie_break is None:
         tie_break = [name for name in df.columns if name not in {*keys, newest}]
-    if few_keys and estimated_bytes(df) >= LARGE_INPUT:
+    if few_keys:
         df = _newest_rows(df, keys, newest)
     order = [F.desc_nulls_last(newest), *[F.asc_nulls_last(name) for name in tie_break]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -48,16 +45,12 @@ def latest_per_key(
 def _newest_rows(df: DataFrame, keys: list[str], newest: str) -> DataFrame:
     """The rows that hold the greatest ``newest`` of their key.
 
-    Returns ``df`` as it is where the greatest values are too large to broadcast, or are text,
-    which Spark does not aggregate by hashing.
+    The greatest values are written first, so that the join knows their true size: Spark
+    broadcasts them if they fit, and shuffles both sides if not.
     """
-    if isinstance(df.schema[newest].dataType, StringType):
-        return df
     greatest = materialize(df.groupBy(*keys).agg(F.max(newest)), "newest")
     names = [f"_latest{i}" for i in range(len(keys) + 1)]
     greatest = greatest.toDF(*names)
-    if estimated_bytes(greatest) > broadcast_threshold(df.sparkSession):
-        return df
     same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip([*keys, newest], names)]
     return df.join(greatest, reduce(Column.__and__, same), "left_semi")
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.session import broadcast_threshold, estimated_bytes
+from ledgerstar.session import broadcast_threshold, estimated_bytes, materialize
 
 # A key with at least this share of the rows is salted, or with one shuffle partition's
 # worth where that is more. Smaller skews are left to the adaptive skew join.
@@ -26,11 +26,18 @@ SKETCH_ITEMS = 8_192
 
 @dataclass(frozen=True)
 class Dimension:
-    """A table to join: ``on`` maps columns of the large table to the dimension's key columns."""
+    """A table to join: ``on`` maps columns of the large table to the dimension's key columns.
+
+    ``derived`` says that the table is much smaller than what it is made from, as after a filter
+    or ``distinct``. Catalyst sizes it like its parent; so it is written first, trimmed, and its
+    true size decides whether it is broadcast. ``large`` never broadcasts: both sides shuffle.
+    """
 
     table: DataFrame
     on: dict[str, str]
     columns: Sequence[str] = ()
+    derived: bool = False
+    large: bool = False
 
     def trimmed(self) -> DataFrame:
         """Only what the join needs, with key names that cannot clash."""
@@ -38,7 +45,16 @@ class Dimension:
         return self.table.select(*keys, *self.columns)
 
     def fits_broadcast(self) -> bool:
-        return estimated_bytes(self.trimmed()) <= broadcast_threshold(self.table.sparkSession)
+        most = broadcast_threshold(self.table.sparkSession)
+        return not self.large and estimated_bytes(self.trimmed()) <= most
+
+    def settled(self) -> Dimension:
+        """Itself or, if derived and too large by its estimate, itself over a written table."""
+        if not self.derived or self.large or self.fits_broadcast():
+            return self
+        names = list(dict.fromkeys([*self.on.values(), *self.columns]))
+        table = materialize(self.table.select(*names), "dimension")
+        return replace(self, table=table, derived=False)
 
 
 @dataclass(frozen=True)
@@ -49,15 +65,19 @@ class HotKeys:
     pieces: int
 
 
-def hot_keys(fact: DataFrame, key_sets: list[list[str]]) -> list[HotKeys]:
+def hot_keys(
+    fact: DataFrame, key_sets: list[list[str]], least_share: float = HOT_SHARE
+) -> list[HotKeys]:
     """Find the hot keys of several key sets in one pass over the key columns.
 
+    A key is hot with at least ``least_share`` of the rows, or with a shuffle partition's worth
+    where that is more; smaller skews are left to the adaptive skew join.
     Each task builds one small frequency sketch per key set, and groups of tasks merge
     theirs, so neither a task nor the driver sees more than a bounded number of items. The
     result only steers the layout of a join: a missed key costs time, never rows.
     """
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(HOT_SHARE, 1 / partitions)
+    share = max(least_share, 1 / partitions)
     most = math.ceil(1 / share)
     names = [f"_hash{i}" for i in range(len(key_sets))]
     hashed = fact.select(
@@ -115,6 +135,8 @@ def _join_one(
 ) -> DataFrame:
     _check_key_types(fact, dim)
     table = dim.trimmed()
+    if dim.large:
+        table = table.hint("merge")
     names = [f"_key{i}" for i in range(len(dim.on))]
     tests = [_same_key(key, name, null_safe) for key, name in zip(dim.on, names)]
     if hot is not None and hot.hashes:
@@ -151,6 +173,7 @@ def join_dimensions(
     to read, such as the table the keys came from.
     """
     spread_by = list(spread_by) or fact.columns
+    dims = [dim.settled() for dim in dims]
     large = [dim for dim in dims if not dim.fits_broadcast()]
     hot = {}
     if large:
@@ -177,13 +200,18 @@ def star_join(
 
 
 def attach_key(
-    fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str, spread_by: Sequence[str] = ()
+    fact: DataFrame,
+    dim: DataFrame,
+    on: dict[str, str],
+    key: str,
+    spread_by: Sequence[str] = (),
+    derived: bool = False,
 ) -> DataFrame:
     """Look up ``key`` for every fact row; null keys match, unmatched rows get null.
 
-    A fact row repeats when several dimension rows share its key.
+    A fact row repeats when several dimension rows share its key. ``derived`` as in ``Dimension``.
     """
-    return join_dimensions(fact, [Dimension(dim, on, [key])], "left", True, spread_by)
+    return join_dimensions(fact, [Dimension(dim, on, [key], derived)], "left", True, spread_by)
 
 
 def orphan_rows(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -77,8 +77,14 @@ def _approximate_profile(df: DataFrame) -> DataFrame:
     return figures.select(F.inline(F.array(*lines)))
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """One row per column with its null count: (position, column, type, nulls), in one pass."""
+def schema_report(df: DataFrame, count_nulls: bool = False) -> DataFrame:
+    """One row per column: (position, column, type), from the metadata alone.
+
+    ``count_nulls`` adds ``nulls``, for which every column is read once.
+    """
+    if not count_nulls:
+        rows = [(i, name, type_) for i, (name, type_) in enumerate(df.dtypes)]
+        return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
     lines = [
         F.struct(
             F.lit(i).alias("position"),

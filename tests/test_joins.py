@@ -161,3 +161,31 @@ def test_orphans(rows):
     assert [tuple(r) for r in orphan_keys(child, "k", parent, "p").collect()] == [(2, 2)]
     report = orphan_report(child, {"d": Dimension(parent, {"k": "p"})})
     assert [tuple(r) for r in report.collect()] == [("d", 1, 2)]
+
+
+def test_a_derived_dimension_is_sized_by_itself(spark, skewed, tmp_path):
+    """A wide parent is too large by its estimate, its few rows are not."""
+    wide = spark.range(20_000).select(
+        F.concat(F.lit("k"), "id").alias("dkey"), F.repeat(F.lit("x"), 200).alias("value")
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    few = spark.read.parquet(str(tmp_path / "wide")).filter("dkey = 'k1'")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        for derived in (False, True):
+            joined = attach_key(skewed, few, {"key": "dkey"}, "value", derived=derived)
+            assert ("_salt" in plan(joined)) != derived
+            assert joined.count() == 900
+            assert joined.filter("value is not null").count() == skewed.filter("key = 'k1'").count()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_large_dimension_shuffles_salted(skewed, dim):
+    joined = star_join(skewed, [Dimension(dim, {"key": "dkey"}, ["value"], large=True)], ["id"])
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "_salt" in text
+    found = sorted(map(tuple, joined.collect()), key=repr)
+    assert found == expected(skewed, dim, "inner", False)
