@@ -6,6 +6,7 @@ results in SQL. Queries that write use new paths in the shared folder.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -107,14 +108,22 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Two flat CSV files with an index column; orders of status O are in both."""
+    """Two flat CSV files with an index column, their other columns in different orders.
+
+    Orders of status O, here null, are in both.
+    """
     rows = materialize(transactions(spark, sf_dir), "orders")
     index = F.substring("trans_num", 2, 20).cast("bigint")
+    status = F.nullif("o_orderstatus", F.lit("O"))
+    # Every row but those of P is in the first file, every row but those of F in the second.
+    parts = (
+        (rows.filter(~status.eqNullSafe(F.lit("P"))), index, RAW_COLUMNS),
+        (rows.filter(~status.eqNullSafe(F.lit("F"))), -index, RAW_COLUMNS[::-1]),
+    )
     paths = []
-    for statuses, position in ((("F", "O"), index), (("O", "P"), -index)):
-        part = rows.filter(F.col("o_orderstatus").isin(*statuses))
+    for part, position, columns in parts:
         path = scratch_path(spark, "source")
-        write_csv(part.select(position.alias("row_index"), *RAW_COLUMNS), path)
+        write_csv(part.select(position.alias("row_index"), *columns), path)
         paths.append(path)
     return paths
 
@@ -125,6 +134,12 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _landed(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
+    path = scratch_path(spark, "landing")
+    dimensions.land(tables, path)
+    return path
+
+
 def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     flat = transactions(spark, sf_dir).select(*RAW_COLUMNS)
     return dimensions.build_dimensions(flat, AS_OF)
@@ -132,7 +147,8 @@ def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The gold tables of the whole run."""
-    return medallion.run(spark, landing(spark, sf_dir), scratch_path(spark, "warehouse"), AS_OF)
+    place = scratch_path(spark, "warehouse")
+    return medallion.run(spark, landing(spark, sf_dir), place, AS_OF, even_folders=True)
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -169,7 +185,7 @@ def _partitioned_orders(spark, sf_dir):
     """Orders in folders by day, and the schema that reads them back."""
     orders = bronze.with_day(tables(spark, sf_dir)["orders"], "o_orderdate")
     path = scratch_path(spark, "by-day")
-    write_partitioned(orders, path, DAY_PARTITIONS)
+    write_partitioned(orders, path, DAY_PARTITIONS, even_folders=True)
     return path, orders.schema
 
 
@@ -178,6 +194,14 @@ def partitioned_fact(spark, sf_dir):
     return read_parquet(spark, path, schema)
 
 
+def rebalanced_fact(spark, sf_dir):
+    """Orders in folders by year; the adaptive plan sizes the tasks."""
+    orders = bronze.with_day(tables(spark, sf_dir)["orders"], "o_orderdate")
+    path = scratch_path(spark, "by-year")
+    write_partitioned(orders, path, ["year"])
+    return read_parquet(spark, path, orders.schema)
+
+
 def partition_pruned_read(spark, sf_dir):
     path, schema = _partitioned_orders(spark, sf_dir)
     return read_parquet(spark, path, schema).filter("year = '1997' and month = '12'")
@@ -192,14 +216,34 @@ def day_overwrite(spark, sf_dir):
     return read_parquet(spark, path, schema)
 
 
+def _set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files of a folder back."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    then = int((time.time() - days * 86_400) * 1000)
+    for status in system.listStatus(place):
+        system.setTimes(status.getPath(), then, -1)
+
+
 def incremental_load(spark, sf_dir):
-    """Two drops of files, each followed by two loads: every row arrives once."""
-    orders = tables(spark, sf_dir)["orders"]
+    """Two drops of files, each followed by two loads: every row arrives once.
+
+    The files of the second drop are older than those of the first by a year.
+    """
+    status = F.nullif("o_orderstatus", F.lit("P"))
+    orders = tables(spark, sf_dir)["orders"].withColumn("o_orderstatus", status)
     drop, target = scratch_path(spark, "drop"), scratch_path(spark, "loaded")
     checkpoint = scratch_path(spark, "progress")
-    for finished in (True, False):
-        batch = orders.filter((F.col("o_orderstatus") == "F") == F.lit(finished))
-        write_parquet(batch, drop, mode="append")
+    finished = F.col("o_orderstatus").eqNullSafe(F.lit("F"))
+    for batch, age in ((orders.filter(finished), 0), (orders.filter(~finished), 365)):
+        part = scratch_path(spark, "part")
+        write_parquet(batch, part)
+        _set_age(spark, part, age)
+        moved = spark._jvm.org.apache.hadoop.fs.Path(drop)
+        system = moved.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(moved)
+        for found in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{part}/*.parquet")):
+            system.rename(found.getPath(), moved)
         for _ in range(2):
             load_new_files(spark, drop, orders.schema, target, checkpoint)
     return read_parquet(spark, target)
@@ -221,7 +265,7 @@ def partitioned_table(spark, sf_dir):
 
 
 def bulk_load(spark, sf_dir):
-    """An empty table shaped like the files, then two loads into it."""
+    """An empty table shaped like the files, then the same load twice."""
     path = scratch_path(spark, "parquet")
     write_parquet(tables(spark, sf_dir)["customer"], path)
     name = _table_name("customer")
@@ -375,22 +419,31 @@ def star_join(spark, sf_dir):
     return joins.star_join(lines, [customer], skew_from=t["orders"])
 
 
+def salted_join(spark, sf_dir):
+    """A third of the lines are of one supplier; both sides shuffle, that supplier salted."""
+    t = tables(spark, sf_dir)
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint"))
+    lines = t["lineitem"].withColumn("l_suppkey", F.coalesce(hot, "l_suppkey"))
+    supplier = joins.Dimension(t["supplier"], {"l_suppkey": "s_suppkey"}, ["s_name"], large=True)
+    return joins.star_join(lines, [supplier], ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
 def left_key_attach(spark, sf_dir):
     """Only customers in credit have a key; orders of the others get null."""
     t = tables(spark, sf_dir)
     keyed = t["customer"].filter("c_acctbal >= 0").withColumn("cust_uuid", surrogate_key("c_custkey"))
-    return joins.attach_key(t["orders"], keyed, {"o_custkey": "c_custkey"}, "cust_uuid")
+    on = {"o_custkey": "c_custkey"}
+    return joins.attach_key(t["orders"], keyed, on, "cust_uuid", derived=True)
 
 
 def null_safe_key_attach(spark, sf_dir):
     """A null segment is a key like any other, and keys with several rows repeat the fact."""
     t = tables(spark, sf_dir)
     segment = F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("segment")
-    nations = t["customer"].select(segment, "c_nationkey").filter("c_nationkey < 3").distinct()
+    nations = t["customer"].select(segment, "c_nationkey").distinct()
     dim = nations.withColumn("key", surrogate_key("segment", "c_nationkey"))
-    return joins.attach_key(
-        t["customer"].select("c_custkey", segment), dim, {"segment": "segment"}, "key"
-    )
+    customers = t["customer"].select("c_custkey", segment)
+    return joins.attach_key(customers, dim, {"segment": "segment"}, "key", derived=True)
 
 
 def aligned_key_join(spark, sf_dir):
@@ -445,8 +498,10 @@ def concat_dedup(spark, sf_dir):
 
 def _status_files(spark, sf_dir):
     orders = tables(spark, sf_dir)["orders"]
-    first = orders.filter("o_orderstatus <> 'P'").select(F.lit(1).alias("file"), "*")
-    second = orders.filter("o_orderstatus <> 'F'").select(F.lit(2).alias("file"), "*")
+    status = F.nullif("o_orderstatus", F.lit("O"))
+    orders = orders.withColumn("o_orderstatus", status)
+    first = orders.filter("NOT o_orderstatus <=> 'P'").select(F.lit(1).alias("file"), "*")
+    second = orders.filter("NOT o_orderstatus <=> 'F'").select(F.lit(2).alias("file"), "*")
     return first, second
 
 
@@ -459,6 +514,12 @@ def latest_per_key_query(spark, sf_dir):
     return latest_per_key(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 
+def latest_of_few_keys(spark, sf_dir):
+    """The newest line of each supplier: newest dates first, by hashing, then their lines."""
+    lines = tables(spark, sf_dir)["lineitem"]
+    return latest_per_key(lines, ["l_suppkey"], "l_shipdate", few_keys=True)
+
+
 def multi_key_sort(spark, sf_dir):
     return sort_rows(tables(spark, sf_dir)["orders"], ["o_orderpriority"], ["o_orderdate"])
 
@@ -500,7 +561,7 @@ def profile_table(spark, sf_dir):
 
 
 def schema_report(spark, sf_dir):
-    return profile.schema_report(tables(spark, sf_dir)["lineitem"])
+    return profile.schema_report(tables(spark, sf_dir)["lineitem"], count_nulls=True)
 
 
 # --- data tests ----------------------------------------------------------------------------
@@ -566,8 +627,18 @@ def build_fact_shared_cards(spark, sf_dir):
     return dimensions.build_dimensions(flat, AS_OF, narrow_fact=True)["fact_transactions"]
 
 
+def flat_files_with_line_breaks(spark, sf_dir):
+    """The same rows from files whose street names have line breaks and quotes."""
+    flat = transactions(spark, sf_dir)
+    street = F.regexp_replace("street", ", ", ',\n"')
+    path = scratch_path(spark, "source")
+    write_csv(flat.withColumn("street", street).select(F.lit(0).alias("n"), *RAW_COLUMNS), path)
+    return dimensions.read_transactions(spark, [path], multiLine=True)
+
+
 def bronze_fact(spark, sf_dir):
-    return bronze.bronze_fact(spark, landing(spark, sf_dir), scratch_path(spark, "bronze"))
+    place = scratch_path(spark, "bronze")
+    return bronze.bronze_fact(spark, landing(spark, sf_dir), place, even_folders=True)
 
 
 def _bronze_dimension(spark, sf_dir, name):
@@ -631,6 +702,27 @@ def bronze_silver_gold(spark, sf_dir):
     return warehouse(spark, sf_dir)["fact_transactions"]
 
 
+def daily_rerun(spark, sf_dir):
+    """All days, then the days of January 1996 again with corrected amounts."""
+    built_tables = built(spark, sf_dir)
+    place = scratch_path(spark, "warehouse")
+    medallion.run_days(spark, _landed(spark, built_tables), place, AS_OF, even_folders=True)
+    fact = built_tables["fact_transactions"]
+    moment = F.col("trans_date_trans_time")
+    month = fact.filter((moment >= "1996-01-01") & (moment < "1996-02-01"))
+    again = built_tables | {"fact_transactions": month.withColumn("amt", F.lit(0.5))}
+    return medallion.run_days(spark, _landed(spark, again), place, AS_OF)["fact_transactions"]
+
+
+def named_gold_fact(spark, sf_dir):
+    """The gold fact and a staging view, read by name after a run."""
+    names = _table_name("wh") + "_"
+    place = scratch_path(spark, "warehouse")
+    medallion.run(spark, landing(spark, sf_dir), place, AS_OF, names, even_folders=True)
+    fact, staged = spark.table(f"{names}fact_transactions"), spark.table(f"{names}stg_dim_merchant")
+    return fact.join(staged.select("merch_uuid", "merch_lat"), "merch_uuid")
+
+
 def gold_tests(spark, sf_dir):
     return gold.gold_test_report(warehouse(spark, sf_dir))
 
@@ -650,6 +742,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_inferred": csv_scan_inferred,
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_fact": partitioned_fact,
+    "rebalanced_fact": rebalanced_fact,
     "partition_pruned_read": partition_pruned_read,
     "day_overwrite": day_overwrite,
     "incremental_load": incremental_load,
@@ -676,6 +769,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_key": surrogate_key_query,
     "card_enrichment": card_enrichment,
     "tier_lookup": tier_lookup,
+    "salted_join": salted_join,
     "left_key_attach": left_key_attach,
     "null_safe_key_attach": null_safe_key_attach,
     "aligned_key_join": aligned_key_join,
@@ -687,6 +781,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "concat_dedup": concat_dedup,
     "dimension_extract": dimension_extract,
     "latest_per_key": latest_per_key_query,
+    "latest_of_few_keys": latest_of_few_keys,
     "multi_key_sort": multi_key_sort,
     "preview": preview_query,
     "null_profile": null_profile,
@@ -699,6 +794,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_null_tests": not_null_tests,
     "data_test_report": data_test_report,
     "flat_files_read": flat_files_read,
+    "flat_files_with_line_breaks": flat_files_with_line_breaks,
     "build_dim_customer": build_dim_customer,
     "build_dim_merchant": build_dim_merchant,
     "build_dim_card": build_dim_card,
@@ -717,6 +813,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_dim_customer": gold_dim_customer,
     "gold_dim_merchant": gold_dim_merchant,
     "bronze_silver_gold": bronze_silver_gold,
+    "daily_rerun": daily_rerun,
+    "named_gold_fact": named_gold_fact,
     "gold_tests": gold_tests,
     "gold_lost_facts": gold_lost_facts,
 }

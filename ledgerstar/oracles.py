@@ -2,18 +2,71 @@
 
 from __future__ import annotations
 
-from ledgerstar.functions.cards import CARD_TIERS, PROVIDERS
-from ledgerstar.schemas import (
-    CARD_COLUMNS,
-    CUSTOMER_COLUMNS,
-    CUSTOMER_KEY,
-    FACT_COLUMNS,
-    GOLD_TESTS,
-    LANDING_FACT,
-    MERCHANT_COLUMNS,
-    RAW_COLUMNS,
+# What the results must hold is stated here once more, apart from the code that is checked.
+
+# Card tiers with lowest limit, highest limit and step.
+CARD_TIERS = {
+    "Basic": (1000, 5000, 500),
+    "Gold": (5000, 15000, 1000),
+    "Platinum": (15000, 30000, 2500),
+    "Signature": (30000, 50000, 5000),
+    "Infinite": (50000, 100000, 10000),
+}
+
+# Card providers.
+PROVIDERS = (
+    "American Express",
+    "Diners Club",
+    "Discover",
+    "JCB",
+    "Maestro",
+    "Mastercard",
+    "VISA",
 )
 
+# The columns of the flat file, of a customer record, and of the tables made.
+CUSTOMER = """
+first last gender street city state zip lat long city_pop job dob
+""".split()
+CUSTOMER_KEY = ["cc_num", *CUSTOMER]
+CUSTOMER_COLUMNS = [*CUSTOMER, "cust_uuid"]
+MERCHANT_COLUMNS = "merchant merch_lat merch_long merch_uuid".split()
+CARD_COLUMNS = """
+cc_num card_provider card_category expiration_date issue_date credit_limit
+""".split()
+RAW_COLUMNS = """
+trans_date_trans_time cc_num merchant category amt first last gender street city state zip lat
+long city_pop job dob trans_num unix_time merch_lat merch_long is_fraud
+""".split()
+LANDING_COLUMNS = [*RAW_COLUMNS, "merch_uuid", "cust_uuid"]
+FACT_COLUMNS = """
+trans_num merch_uuid cust_uuid trans_date_trans_time cc_num category amt unix_time is_fraud
+""".split()
+
+# The 29 declared tests of the gold layer.
+GOLD_TESTS = {
+    "dim_card": {
+        "not_null": "cc_num card_provider expiration_date issue_date credit_limit is_top_card".split(),
+        "unique": ["cc_num"],
+    },
+    "dim_customer": {
+        "not_null": "cust_uuid first last dob age".split(),
+        "unique": ["cust_uuid"],
+    },
+    "dim_merchant": {"not_null": "merch_uuid merchant".split(), "unique": ["merch_uuid"]},
+    "fact_transactions": {
+        "not_null": """
+            trans_num merch_uuid cust_uuid amt is_fraud first last merchant card_provider
+            credit_limit
+        """.split(),
+        "unique": ["trans_num"],
+        "relationships": {
+            "merch_uuid": ("dim_merchant", "merch_uuid"),
+            "cust_uuid": ("dim_customer", "cust_uuid"),
+        },
+    },
+}
+
 AS_OF = "date '2026-01-01'"
 
 
@@ -196,6 +249,7 @@ select cast(c_custkey as integer) as c_custkey, c_name, c_nationkey, c_acctbal,
 from customer""",
     "parquet_roundtrip": "select * from part",
     "partitioned_fact": f"select *, {_day_parts('o_orderdate')} from orders",
+    "rebalanced_fact": f"select *, {_day_parts('o_orderdate')} from orders",
     "partition_pruned_read": f"""
 select *, {_day_parts("o_orderdate")} from orders
 where o_orderdate >= date '1997-12-01' and o_orderdate < date '1998-01-01'""",
@@ -203,12 +257,13 @@ where o_orderdate >= date '1997-12-01' and o_orderdate < date '1998-01-01'""",
 select * replace (case when o_orderdate >= date '1996-01-01' and o_orderdate < date '1996-02-01'
                        then 0.5 else o_totalprice end as o_totalprice),
        {_day_parts("o_orderdate")} from orders""",
-    "incremental_load": "select * from orders",
+    "incremental_load": """
+select * replace (nullif(o_orderstatus, 'P') as o_orderstatus) from orders""",
     "table_from_parquet": "select * from supplier",
     "partitioned_table": """
 select *, cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
        cast(day(o_orderdate) as integer) as day from orders""",
-    "bulk_load": "select * from customer union all select * from customer",
+    "bulk_load": "select * from customer",
     "view_materialization": "select p_brand as brand, p_partkey as part_id from part",
     "table_materialization": """
 select c_mktsegment, c_nationkey, count(*) as customers from customer group by 1, 2""",
@@ -256,6 +311,10 @@ from orders""",
 select cc_num, card_category, low, high, step from ({_CARDS_OF_CUSTOMERS}) cards
 join (values {_list(f"('{n}', {a}, {b}, {c})" for n, (a, b, c) in CARD_TIERS.items())})
   limits(name, low, high, step) on name = card_category""",
+    "salted_join": """
+with lines as (select * replace (case when l_orderkey % 3 = 0 then 1 else l_suppkey end
+                                 as l_suppkey) from lineitem)
+select lines.*, s_name from lines join supplier on s_suppkey = l_suppkey""",
     "left_key_attach": f"""
 select orders.*, cust_uuid from orders
 left join (select c_custkey, {_key("c_custkey")} as cust_uuid from customer
@@ -264,7 +323,7 @@ left join (select c_custkey, {_key("c_custkey")} as cust_uuid from customer
     "null_safe_key_attach": f"""
 with segments as (select c_custkey, c_nationkey, nullif(c_mktsegment, 'FURNITURE') as segment
                   from customer),
-dim as (select distinct segment, c_nationkey from segments where c_nationkey < 3)
+dim as (select distinct segment, c_nationkey from segments)
 select c_custkey, segments.segment, {_key("dim.segment", "dim.c_nationkey")} as key
 from segments left join dim on dim.segment is not distinct from segments.segment""",
     "aligned_key_join": """
@@ -286,19 +345,26 @@ where not exists (select 1 from lineitem where l_orderkey = o_orderkey)""",
     "concat_by_name": """
 select c_name as name, c_acctbal as balance, c_mktsegment as segment from customer
 union all select s_name, s_acctbal, null from supplier""",
-    "concat_dedup": "select * from orders",
+    "concat_dedup": """
+select * replace (nullif(o_orderstatus, 'O') as o_orderstatus) from orders""",
     "dimension_extract": "select distinct o_custkey, o_orderpriority from orders",
     "latest_per_key": """
 select * from orders
 qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1""",
+    "latest_of_few_keys": """
+select * from lineitem
+qualify row_number() over (partition by l_suppkey order by l_shipdate desc, l_orderkey, l_partkey,
+  l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
     "multi_key_sort": "select * from orders order by o_orderpriority, o_orderdate desc",
     "preview": """
 select * from lineitem order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey
 limit 20""",
     "null_profile": """
-select cast(0 as bigint) as c_custkey, cast(0 as bigint) as c_name,
-       count(*) filter (c_nationkey = 7) as c_nationkey, cast(0 as bigint) as c_acctbal,
-       count(*) filter (c_mktsegment = 'BUILDING') as c_mktsegment from customer""",
+select count(*) filter (c_custkey is null) as c_custkey,
+       count(*) filter (c_name is null) as c_name,
+       count(*) filter (nullif(c_nationkey, 7) is null) as c_nationkey,
+       count(*) filter (c_acctbal is null) as c_acctbal,
+       count(*) filter (nullif(c_mktsegment, 'BUILDING') is null) as c_mktsegment from customer""",
     "row_and_distinct_counts": """
 select count(*) as "rows", count(distinct (l_orderkey, l_linenumber)) as distinct_rows,
        count(*) - count(distinct (l_orderkey, l_linenumber)) as duplicates from lineitem""",
@@ -331,10 +397,14 @@ from ({_test_report({
     "in_credit": {"not_null": ["c_name"], "unique": ["c_custkey"]},
 })}) report""",
     "flat_files_read": f"with {_FLAT} select {_list(RAW_COLUMNS)} from flat",
+    "flat_files_with_line_breaks": f"""
+with {_FLAT}
+select {_list(RAW_COLUMNS)} from (select * replace (replace(street, ', ', ',' || chr(10) || '"')
+                                                    as street) from flat) broken""",
     "build_dim_customer": f"with {_BUILT} select {_list(CUSTOMER_COLUMNS)} from customers",
     "build_dim_merchant": f"with {_BUILT} select {_list(MERCHANT_COLUMNS)} from merchants",
     "build_dim_card": f"with {_BUILT} select {_list(CARD_COLUMNS)} from cards",
-    "build_fact": f"with {_BUILT} select {_list(LANDING_FACT.names)} from facts",
+    "build_fact": f"with {_BUILT} select {_list(LANDING_COLUMNS)} from facts",
     "build_fact_shared_cards": f"""
 with {_FLAT.replace("flat as (", "unpaired as (")},
 flat as (select * replace (4000000000000000 + (cc_num - 4000000000000000) // 2 as cc_num)
@@ -347,7 +417,7 @@ select {_list(c if c != "cc_num" else "flat.cc_num" for c in FACT_COLUMNS)}
 from flat left join merchants on merchants.merchant is not distinct from flat.merchant
 left join customers on customers.cc_num is not distinct from flat.cc_num""",
     "bronze_fact": f"""
-with {_BUILT} select {_list(LANDING_FACT.names)}, {_day_parts("trans_date_trans_time")}
+with {_BUILT} select {_list(LANDING_COLUMNS)}, {_day_parts("trans_date_trans_time")}
 from facts""",
     "bronze_dim_customer": f"""
 with {_BUILT} select {_list(f"cast({c} as varchar) as {c}" for c in CUSTOMER_COLUMNS)}
@@ -367,11 +437,27 @@ with {_GOLD} select * replace (credit_limit >= 10000 as is_top_card) from dim_ca
     "gold_dim_customer": f"with {_GOLD} select * from dim_customer",
     "gold_dim_merchant": f"with {_GOLD} select * from dim_merchant",
     "bronze_silver_gold": f"with {_GOLD} select * from fact_transactions",
+    "daily_rerun": f"""
+with {_GOLD} select * replace (
+  case when trans_date_trans_time >= timestamp '1996-01-01'
+        and trans_date_trans_time < timestamp '1996-02-01' then 0.5 else amt end as amt)
+from fact_transactions""",
+    "named_gold_fact": f"""
+with {_GOLD} select fact_transactions.*, merch_lat
+from fact_transactions join dim_merchant using (merch_uuid)""",
     "gold_tests": f"with {_GOLD} {_test_report(GOLD_TESTS)}",
     "gold_lost_facts": f"""
 with {_GOLD}
-select 'dim_card' as dimension, cast(0 as bigint) as null_rows, cast(0 as bigint) as orphan_rows
-union all select 'dim_customer', 0, count(*) filter (c.job = 'BUILDING')
-from silver_fact f join dim_customer c on c.cust_uuid = f.cust_uuid
-union all select 'dim_merchant', 0, 0""",
+select 'dim_card' as dimension, count(*) filter (cc_num is null) as null_rows,
+       count(*) filter (cc_num is not null and not exists (
+         select 1 from dim_card c where c.cc_num = f.cc_num)) as orphan_rows from silver_fact f
+union all
+select 'dim_customer', count(*) filter (cust_uuid is null),
+       count(*) filter (cust_uuid is not null and not exists (
+         select 1 from dim_customer c where c.cust_uuid = f.cust_uuid and c.job <> 'BUILDING'))
+from silver_fact f
+union all
+select 'dim_merchant', count(*) filter (merch_uuid is null),
+       count(*) filter (merch_uuid is not null and not exists (
+         select 1 from dim_merchant m where m.merch_uuid = f.merch_uuid)) from silver_fact f""",
 }

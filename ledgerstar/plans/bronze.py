@@ -18,28 +18,44 @@ def with_day(fact: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
     return fact.withColumns(day_parts(ts))
 
 
-def bronze_dimension(spark: SparkSession, landing: str, out: str, name: str) -> DataFrame:
-    """Convert one dimension; every column stays text."""
-    landed = LANDING_DIMENSIONS[name]
-    return write_parquet(read_csv(spark, f"{landing}/{name}", landed), f"{out}/{name}")
+def bronze_dimension(
+    spark: SparkSession, landing: str, out: str, name: str, **options
+) -> DataFrame:
+    """Convert one dimension; every column stays text. ``options`` go to the CSV reader."""
+    landed = read_csv(spark, f"{landing}/{name}", LANDING_DIMENSIONS[name], **options)
+    return write_parquet(landed, f"{out}/{name}")
 
 
 def bronze_fact(
-    spark: SparkSession, landing: str, out: str, days_only: bool = False, rebalance: bool = True
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    days_only: bool = False,
+    even_folders: bool = False,
+    **options,
 ) -> DataFrame:
     """Convert the fact; ``days_only`` replaces just the days found in ``landing``."""
-    fact = with_day(read_csv(spark, f"{landing}/fact_transactions", LANDING_FACT))
+    fact = with_day(read_csv(spark, f"{landing}/fact_transactions", LANDING_FACT, **options))
     path = f"{out}/fact_transactions"
-    write_partitioned(fact, path, DAY_PARTITIONS, days_only, rebalance)
+    write_partitioned(fact, path, DAY_PARTITIONS, days_only, even_folders=even_folders)
     return read_parquet(spark, path, BRONZE_FACT)
 
 
-def bronze(spark: SparkSession, landing: str, out: str) -> dict[str, DataFrame]:
-    """All four tables, as written."""
+def bronze(
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    days_only: bool = False,
+    even_folders: bool = False,
+    **options,
+) -> dict[str, DataFrame]:
+    """All four tables, as written; ``days_only`` replaces just the landed days of the fact."""
     jobs = {
-        name: partial(bronze_dimension, spark, landing, out, name) for name in LANDING_DIMENSIONS
+        name: partial(bronze_dimension, spark, landing, out, name, **options)
+        for name in LANDING_DIMENSIONS
     }
-    return in_parallel(jobs | {"fact_transactions": partial(bronze_fact, spark, landing, out)})
+    fact = partial(bronze_fact, spark, landing, out, days_only, even_folders, **options)
+    return in_parallel(jobs | {"fact_transactions": fact})
 
 
 def read_bronze(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerstar.functions.cards import PROVIDERS, enrich_cards
 from ledgerstar.functions.keys import surrogate_key
@@ -20,17 +21,37 @@ from ledgerstar.schemas import (
     FACT_COLUMNS,
     LANDING_FACT,
     MERCHANT_COLUMNS,
+    RAW_COLUMNS,
     RAW_SCHEMA,
 )
 from ledgerstar.session import in_parallel, materialize
 from ledgerstar.sources.csv import read_csv, write_csv
 
 
-def read_transactions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The flat files as one table, without the index column and without repeated rows."""
-    # An unnamed header cell does not match any schema name, so names are not compared here.
-    files = [read_csv(spark, path, RAW_SCHEMA, enforceSchema=True) for path in paths]
-    return drop_at(concat(*files), 0).dropDuplicates()
+def _schema_of(spark: SparkSession, path: str, **options) -> StructType:
+    """The types of a flat file's columns in the order of its own header, which is read here."""
+    index, *names = read_csv(spark, path, **options).columns
+    if sorted(names) != sorted(RAW_COLUMNS):
+        missing, unknown = set(RAW_COLUMNS) - set(names), set(names) - set(RAW_COLUMNS)
+        raise ValueError(f"{path}: columns missing {sorted(missing)}, unknown {sorted(unknown)}")
+    # The reader's own name for an unnamed cell; each file's header is checked against "".
+    index = "" if index == "_c0" else index
+    first = StructField(index, RAW_SCHEMA[0].dataType)
+    return StructType([first, *[RAW_SCHEMA[name] for name in names]])
+
+
+def read_transactions(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """The flat files as one table, without the index column and without repeated rows.
+
+    Columns are aligned by the names in each file's header, after its first, the index. A file
+    that lacks a column or has one more is an error. ``options`` go to the CSV reader, such as
+    ``multiLine=True`` for texts with line breaks.
+    """
+    files = [
+        drop_at(read_csv(spark, path, _schema_of(spark, path, **options), **options), 0)
+        for path in paths
+    ]
+    return concat(*files).select(*RAW_COLUMNS).dropDuplicates()
 
 
 def customers(transactions: DataFrame) -> DataFrame:

@@ -8,12 +8,17 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerstar.operators.checks import gate
-from ledgerstar.plans.bronze import bronze
+from ledgerstar.plans import gold as gold_layer
+from ledgerstar.plans.bronze import bronze, bronze_dimension, bronze_fact, with_day
 from ledgerstar.plans.dimensions import build_dimensions, land, read_transactions
-from ledgerstar.plans.gold import gold, gold_test_report, lost_facts
-from ledgerstar.plans.silver import silver
-from ledgerstar.session import in_parallel
-from ledgerstar.sources.parquet import write_parquet
+from ledgerstar.plans.silver import silver, silver_table
+from ledgerstar.schemas import DAY_PARTITIONS, FACT_COLUMNS, LANDING_DIMENSIONS, LANDING_FACT
+from ledgerstar.session import in_parallel, scratch
+from ledgerstar.sources.csv import read_csv
+from ledgerstar.sources.parquet import read_parquet, write_parquet, write_partitioned
+from ledgerstar.sources.tables import as_view, table_from_parquet
+
+FACT = "fact_transactions"
 
 
 def prepare_landing(
@@ -21,9 +26,14 @@ def prepare_landing(
     paths: list[str],
     landing: str,
     as_of: datetime.date | str | Column | None = None,
+    **options,
 ) -> None:
-    """Split the flat source files and write the landing CSV files."""
-    land(build_dimensions(read_transactions(spark, paths), as_of), landing)
+    """Split the flat source files and write the landing CSV files.
+
+    Intermediate tables are deleted when the landing is written. ``options`` go to the reader.
+    """
+    with scratch(spark):
+        land(build_dimensions(read_transactions(spark, paths, **options), as_of), landing)
 
 
 def run(
@@ -31,17 +41,32 @@ def run(
     landing: str,
     warehouse: str,
     as_of: datetime.date | str | Column | None = None,
+    names: str | None = None,
+    even_folders: bool = False,
+    **options,
 ) -> dict[str, DataFrame]:
     """Bronze, silver, gold, then the data tests; raises when a test fails.
 
     The test results and the facts lost in the gold join are written below ``reports`` first.
     Each layer reads what the one before wrote and replaces its own tables, so a run that
-    broke off is simply started again.
+    broke off is simply started again. With ``names`` the results can be queried by name: a
+    view ``{names}stg_{table}`` per staging table, a table ``{names}{table}`` per gold one.
+    ``even_folders`` as in ``write_partitioned``; ``options`` go to the CSV reader.
     """
-    raw = bronze(spark, landing, f"{warehouse}/bronze")
+    raw = bronze(spark, landing, f"{warehouse}/bronze", even_folders=even_folders, **options)
     cleaned = silver(raw, f"{warehouse}/silver")
-    tables = gold(cleaned, f"{warehouse}/gold", as_of)
-    found = {"data_tests": gold_test_report(tables), "lost_facts": lost_facts(cleaned)}
+    tables = gold_layer.gold(cleaned, f"{warehouse}/gold", as_of)
+    _report(tables, cleaned, warehouse)
+    if names is not None:
+        publish(spark, cleaned, tables, warehouse, names)
+    return tables
+
+
+def _report(tables: dict[str, DataFrame], cleaned: dict[str, DataFrame], warehouse: str) -> None:
+    found = {
+        "data_tests": gold_layer.gold_test_report(tables),
+        "lost_facts": gold_layer.lost_facts(cleaned),
+    }
     reports = in_parallel(
         {
             name: partial(write_parquet, report.coalesce(1), f"{warehouse}/reports/{name}")
@@ -49,4 +74,70 @@ def run(
         }
     )
     gate(reports["data_tests"])
-    return tables
+
+
+def publish(
+    spark: SparkSession,
+    cleaned: dict[str, DataFrame],
+    tables: dict[str, DataFrame],
+    warehouse: str,
+    names: str,
+) -> None:
+    """Staging views and gold tables by name; earlier ones of these names are replaced."""
+    for name, staged in gold_layer.staging(cleaned).items():
+        as_view(staged, f"{names}stg_{name}")
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS `{names}{name}`")
+        table_from_parquet(spark, f"{names}{name}", f"{warehouse}/gold/{name}")
+
+
+def run_days(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    as_of: datetime.date | str | Column | None = None,
+    even_folders: bool = False,
+    **options,
+) -> dict[str, DataFrame]:
+    """Bring the days of the landed fact through all layers and leave the other days as they are.
+
+    For daily runs and backfill: bronze, silver and gold keep their facts in folders by day
+    (below ``days`` for silver and gold), and only the folders of the landed days are replaced,
+    so a run that broke off is started again. The landed dimensions replace the old ones whole
+    and must know the keys of all days. A day's gold rows take the names of the run that wrote
+    them. The data tests and reports look at all days.
+    """
+    days = {"replace_touched_only": True, "even_folders": even_folders}
+
+    def by_day(fact: DataFrame, path: str) -> None:
+        write_partitioned(with_day(fact), path, DAY_PARTITIONS, **days)
+
+    dimensions = in_parallel(
+        {
+            name: partial(
+                bronze_dimension, spark, landing, f"{warehouse}/bronze", name, **options
+            )
+            for name in LANDING_DIMENSIONS
+        }
+    )
+    bronze_fact(spark, landing, f"{warehouse}/bronze", True, even_folders, **options)
+    cleaned = silver(dimensions, f"{warehouse}/silver")
+    landed = read_csv(spark, f"{landing}/{FACT}", LANDING_FACT, **options)
+    path = f"{warehouse}/silver/days/{FACT}"
+    touched = silver_table(FACT, landed)
+    by_day(touched, path)
+    tables = gold_layer.gold_tables(cleaned | {FACT: touched}, as_of)
+    gold_path = f"{warehouse}/gold/days/{FACT}"
+    by_day(tables[FACT], gold_path)
+    facts = read_parquet(spark, gold_path).select(*tables[FACT].columns)
+    others = {name: df for name, df in tables.items() if name != FACT}
+    written = in_parallel(
+        {
+            name: partial(write_parquet, df, f"{warehouse}/gold/{name}")
+            for name, df in others.items()
+        }
+    )
+    written[FACT] = facts
+    silver_facts = read_parquet(spark, path).select(*FACT_COLUMNS)
+    _report(written, cleaned | {FACT: silver_facts}, warehouse)
+    return written

@@ -1,6 +1,9 @@
 """The layers end to end on a small flat file, and their invariants."""
 
+import csv
 import datetime
+from pathlib import Path
+from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from ledgerstar.schemas import (
     RAW_SCHEMA,
     SILVER_CASTS,
 )
+from ledgerstar.session import shared_folder
 from ledgerstar.sources.parquet import read_parquet
 
 AS_OF = "2026-01-01"
@@ -203,3 +207,65 @@ def test_silver_does_not_shuffle(spark, landed, tmp_path, capsys):
     silver.silver_table("fact_transactions", fact).explain()
     text = capsys.readouterr().out
     assert "Exchange" not in text and "street" not in text
+
+
+def test_columns_are_aligned_by_header(spark, tmp_path):
+    """The second file has first and last, lat and long in the other order."""
+    order = RAW_COLUMNS.copy()
+    for a, b in (("first", "last"), ("lat", "long")):
+        i, j = order.index(a), order.index(b)
+        order[i], order[j] = order[j], order[i]
+    one = line(1)
+    cells = next(csv.reader([line(2)]))
+    named = dict(zip(RAW_COLUMNS, cells[1:]))
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{one}\n")
+    with open(tmp_path / "b.csv", "w", newline="") as file:
+        csv.writer(file).writerows([["", *order], ["9", *[named[c] for c in order]]])
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    found = dimensions.read_transactions(spark, paths).collect()
+    assert {(r["first"], r["last"], r.lat, r.long) for r in found} == {("Ann", "Lee", 40.5, -75.25)}
+    for header in (HEADER.replace("zip", "zap"), HEADER.replace(",zip", ""), HEADER + ",more"):
+        (tmp_path / "c.csv").write_text(f"{header}\n")
+        with pytest.raises(ValueError, match="columns missing"):
+            dimensions.read_transactions(spark, [str(tmp_path / "c.csv")])
+
+
+def test_line_breaks_pass_through_all_layers(spark, tmp_path):
+    broken = line(1).replace("1 Main St, Apt 2", "1 Main St\nApt 2")
+    (tmp_path / "f.csv").write_text(f"{HEADER}\n{broken}\n")
+    landing = str(tmp_path / "landing")
+    medallion.prepare_landing(spark, [str(tmp_path / "f.csv")], landing, AS_OF, multiLine=True)
+    out = str(tmp_path / "wh")
+    tables = medallion.run(spark, landing, out, AS_OF, multiLine=True)
+    assert tables["dim_customer"].first().street == "1 Main St\nApt 2"
+
+
+def test_landing_leaves_no_scratch(spark, flat, tmp_path):
+    folder = Path(urlsplit(shared_folder(spark)).path) / "ledgerstar"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    medallion.prepare_landing(spark, flat, str(tmp_path / "landing"), AS_OF)
+    assert set(folder.glob("*")) <= before
+
+
+def test_days_are_replaced_through_all_layers(spark, landed, tmp_path):
+    out, whole = str(tmp_path / "wh"), str(tmp_path / "whole")
+    first = medallion.run_days(spark, landed, out, AS_OF)
+    wanted = {n: sorted(t.collect()) for n, t in medallion.run(spark, landed, whole, AS_OF).items()}
+    assert {n: sorted(t.collect()) for n, t in first.items()} == wanted
+    raw = bronze.read_bronze(spark, f"{out}/bronze")
+    day = raw["fact_transactions"].filter("year = '2020'").withColumn("amt", F.lit(99.0))
+    again = {n: df for n, df in raw.items()} | {"fact_transactions": day.select(*LANDING_FACT.names)}
+    dimensions.land(again, str(tmp_path / "again"))
+    found = medallion.run_days(spark, str(tmp_path / "again"), out, AS_OF)
+    assert sorted((r.trans_num, r.amt) for r in found["fact_transactions"].collect()) == [
+        ("t1", 1.5), ("t2", 2.5), ("t3", 3.5), ("t4", 99.0),
+    ]
+    assert read_parquet(spark, f"{out}/reports/data_tests").count() == 29
+
+
+def test_results_have_names(spark, landed, tmp_path):
+    for _ in range(2):
+        tables = medallion.run(spark, landed, str(tmp_path / "wh"), AS_OF, names="named_")
+    for name, df in tables.items():
+        assert sorted(spark.table(f"named_{name}").collect()) == sorted(df.collect())
+    assert spark.table("named_stg_dim_merchant").columns[0] == "merch_long"
