@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
@@ -102,35 +104,42 @@ def record(
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", digest
 
 
+def packed(data: bytes) -> bytes:
+    """A record as a gzip member of its own, so that it can be read alone; always the same."""
+    return gzip.compress(data, compresslevel=4, mtime=0)
+
+
+def members(stream: pa.NativeFile, chunk: int = 1 << 16) -> Iterator[tuple[int, bytes]]:
+    """Position and content of each gzip member of an archive."""
+    position, waiting = 0, stream.read(chunk)
+    while waiting:
+        unpack, parts, size = zlib.decompressobj(wbits=31), [], 0
+        while not unpack.eof:
+            if not waiting and not (waiting := stream.read(chunk)):
+                raise ValueError("the archive ends inside a record")
+            try:
+                parts.append(unpack.decompress(waiting))
+            except zlib.error as error:
+                raise ValueError(f"the record at {position} is damaged") from error
+            size += len(waiting) - len(unpack.unused_data)
+            waiting = unpack.unused_data
+        yield position, b"".join(parts)
+        position += size
+        waiting = waiting or stream.read(chunk)
+
+
 def parse(stream: pa.NativeFile) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """Position, headers and block of each record of an archive; damage is an error."""
-    buffer, at, before = b"", 0, 0  # the buffer begins at byte ``before`` of the archive
-
-    def have(until: int) -> bool:
-        """Read on until the buffer has so many bytes from ``at``; false at the end."""
-        nonlocal buffer, at, before
-        while len(buffer) - at < until:
-            more = stream.read(max(1 << 20, until))
-            if not more:
-                return False
-            buffer, before, at = buffer[at:] + more, before + at, 0
-        return True
-
-    while have(1):
-        while (end := buffer.find(b"\r\n\r\n", at)) < 0:
-            if not have(len(buffer) - at + 1):
-                raise ValueError("the archive ends inside a header")
-        position, head = before + at, buffer[at:end]
+    for position, data in members(stream):
+        head, _, rest = data.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         if version != "WARC/1.1":
             raise ValueError(f"no record at {position}")
         fields = dict(line.split(": ", 1) for line in lines)
         length = int(fields["Content-Length"])
-        size = len(head) + 4 + length + 4
-        if not have(size) or buffer[at + size - 4 : at + size] != b"\r\n\r\n":
-            raise ValueError(f"the record at {position} has no end")
-        yield position, fields, buffer[at + len(head) + 4 : at + size - 4]
-        at += size
+        if rest[length:] != b"\r\n\r\n":
+            raise ValueError(f"the record at {position} has another length")
+        yield position, fields, rest[:length]
 
 
 def _page(name: str) -> int | None:
@@ -161,6 +170,8 @@ def write_archives(
 ) -> DataFrame:
     """Write each page as a record below ``path``; returns the runs of the capture index.
 
+    Archives are ``.warc.gz``, each record a gzip member of its own at its ``position``.
+
     Columns ``page_id, url, html``, all nullable; a null html is empty. ``time`` is the second
     of the capture, by default ``page_id`` seconds from 2026. Every archive has a run: its
     captures sorted by URL key and time. The runs are a Parquet table that Spark commits, and
@@ -188,13 +199,14 @@ def write_archives(
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    file, position = f"{folder}/{part:06d}-{uuid.uuid4().hex}.warc", 0
+                    file, position = f"{folder}/{part:06d}-{uuid.uuid4().hex}.warc.gz", 0
                     out = File.create(file)
                 moment = begin + timedelta(seconds=row["second"] % (1 << 35))
                 time = moment.strftime("%Y-%m-%dT%H:%M:%SZ")
                 data, digest = record(
                     row["page_id"], row["url"], time, row["payload"], row["keep_id"], row["revisit"]
                 )
+                data = packed(data)
                 out.write(data)
                 kind = "revisit" if row["revisit"] else "response"
                 key, size = url_key(row["url"]), len(data)
