@@ -33,7 +33,7 @@ BATCH_CHARS = 4_000_000
 class PieceModel:
     """Pieces with scores, and a double-array trie over their characters."""
 
-    texts: list[bytes]  # of each id, a byte piece as its byte
+    texts: pa.BinaryArray  # of each id, a byte piece as its byte
     scores: dict[str, tuple[int, int]]  # of each ordinary piece: id, score in units
     byte_ids: list[int]
     unknown_id: int
@@ -64,7 +64,7 @@ class PieceModel:
             texts[i] = bytes([value])
         lowest = min(int(units[i]) for i in plain.values())
         return cls(
-            texts,
+            pa.array(texts, pa.binary()),
             {name: (i, int(units[i])) for name, i in plain.items()},
             byte_ids,
             model.unk_id(),
@@ -365,9 +365,14 @@ class Solver:
             yield found[:n]
 
 
-def decode_ids(model: PieceModel, ids: list[int]) -> str:
+def decode_ids(model: PieceModel, ids: np.ndarray) -> str:
     """The text of ids: pieces in a row, without the space in front; damage becomes U+FFFD."""
-    raw = b"".join(map(model.texts.__getitem__, ids))
+    if not len(ids):
+        return ""
+    pieces = model.texts.take(pa.array(ids))
+    # Pieces that were taken lie one after another.
+    ends = np.frombuffer(pieces.buffers()[1], np.int32)
+    raw = pieces.buffers()[2].to_pybytes()[ends[0] : ends[len(ids)]]
     return raw.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
 
@@ -422,7 +427,10 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [decode_ids(shared.value, i.as_py() or []) for i in batch.column("ids")]
+            texts = [
+                decode_ids(shared.value, np.array(i.as_py() or [], np.int32))
+                for i in batch.column("ids")
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rank"), pa.array(texts, pa.string())],
                 ["doc_id", "rank", "text"],
@@ -449,7 +457,7 @@ def round_trips(docs: DataFrame, model_path: str, n: int) -> DataFrame:
             for doc_id, text, found in zip(doc_ids, texts, Solver.of(model_path, model).solve(texts, n)):
                 plain = text.replace(SPACE, " ")
                 same = all(
-                    decode_ids(model, np.frombuffer(i, "<u4").tolist()) == plain for _, i in found
+                    decode_ids(model, np.frombuffer(i, "<u4")) == plain for _, i in found
                 )
                 best = found[0][1]
                 scores = [s * UNIT for s, _ in found]
