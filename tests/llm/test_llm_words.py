@@ -2,6 +2,7 @@
 
 import random
 from array import array
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ LETTERS = " \n\t\r\x1c　a b.,'s12é日​\x00😀"
 
 @pytest.fixture(scope="module")
 def model():
-    return pieces.PieceModel.load(PIECE_BPE)
+    return shared_model()
 
 
 def test_word_tokenizer_gives_the_ids_of_the_library():
@@ -103,6 +104,11 @@ def test_n_best_equals_the_library(model):
         assert scores == sorted(wanted, reverse=True)
 
 
+@cache
+def shared_model():
+    return pieces.PieceModel.load(PIECE_BPE)
+
+
 def all_paths(model, text):
     if not text:
         yield 0
@@ -119,8 +125,7 @@ def all_paths(model, text):
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab the\n日ﬁ", max_size=9))
 def test_n_best_equals_all_segmentations(text):
-    model = pieces.PieceModel.load(PIECE_BPE) if not hasattr(all_paths, "m") else all_paths.m
-    all_paths.m = model
+    model = shared_model()
     [found] = pieces.Solver(model).solve([text], 5)
     scores = [s for s, _ in found]
     wanted = sorted(all_paths(model, "▁" + text.replace(" ", "▁")), reverse=True) if text else [0]
