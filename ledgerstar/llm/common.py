@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import uuid
 import zipfile
 import zlib
@@ -101,6 +102,24 @@ class File:
         return system.open_input_file(path)
 
 
+class _ByteCharacters(dict):
+    """A character as byte-level tokenizers spell it, one character per byte of its UTF-8.
+
+    Fixed rule: bytes that print stand for themselves, the others in turn for 256 and on.
+    """
+
+    _printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    _others = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - _printed))}
+
+    def __missing__(self, character: str) -> str:
+        spelled = "".join(chr(self._others.get(b, b)) for b in character.encode())
+        self[character] = spelled
+        return spelled
+
+
+_SPELLED = _ByteCharacters()
+
+
 class WordTokenizer:
     """Ids of whole texts by the ``tokenizers`` library, each word encoded once.
 
@@ -112,7 +131,7 @@ class WordTokenizer:
 
     _of: dict[str, "WordTokenizer"] = {}
 
-    def __init__(self, path: str, most_words: int = 1_500_000):
+    def __init__(self, path: str, most_words: int = 1_100_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -120,10 +139,17 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        parts = json.loads(self.tokenizer.to_str())
+        kind = parts["pre_tokenizer"] or {}
+        usual = kind.get("use_regex") and not kind.get("add_prefix_space")
+        if parts["normalizer"] or kind.get("type") != "ByteLevel" or not usual:
+            raise ValueError("not a byte-level tokenizer with the usual pattern")
+        self.model = self.tokenizer.model
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit in 16 bits")
         self.most_words = most_words
         self.words: dict[str, bytes] = {}
+        self.marks = dict(zip(",.", self._whole([",", "."])))
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
@@ -136,18 +162,38 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", e.ids).tobytes() for e in found]
 
+    def _model(self, word: str) -> bytes:
+        """Ids of " word" for a word of Latin letters, which the pattern leaves in one piece."""
+        letters = word if word.isascii() else "".join(map(_SPELLED.__getitem__, word))
+        spelled = _SPELLED[" "] + letters
+        return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
     def _learn(self, words: list[str]) -> None:
-        """Encode words in one text, a line each; only line breaks have the id that parts them."""
-        lines = [w if w[0] == "\n" else f"\n {w}" for w in words]
+        """Encode words: letters by the model itself, a mark that follows them by its own id.
+
+        All others go to the library in one text, a line each; only line breaks have the id
+        that parts the lines.
+        """
+        known, others = self.words, []
+        for word in words:
+            if _letters(word):
+                known[word] = self._model(word)
+            elif word[-1] in self.marks and _letters(body := word[:-1]):
+                if (ids := known.get(body)) is None:
+                    ids = known[body] = self._model(body)
+                known[word] = ids + self.marks[word[-1]]
+            else:
+                others.append(word)
+        lines = [w if w[0] == "\n" else f"\n {w}" for w in others]
         [found] = self.tokenizer.encode_batch_fast(
             ["".join(lines) + "\n"], add_special_tokens=False
         )
         ids = array("H", found.ids)
         raw, line = ids.tobytes(), ids[0]
         ends = [2 * at for at, value in enumerate(ids) if value == line]
-        self.words.update(
+        known.update(
             (w, raw[a if w[0] == "\n" else a + 2 : b])
-            for w, a, b in zip(words, ends, ends[1:], strict=False)
+            for w, a, b in zip(others, ends, ends[1:], strict=False)
         )
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -194,6 +240,11 @@ class WordTokenizer:
         return result
 
 
+def _letters(word: str) -> bool:
+    """Only letters, and of scripts whose letters no version of Unicode disputes."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 def _spaced(word: str) -> bool:
     return word[0].isspace() or word[-1].isspace()
 

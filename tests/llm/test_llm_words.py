@@ -17,7 +17,7 @@ from ledgerstar.llm.crc32c import crc32c, masked
 from ledgerstar.llm.queries import BYTE_BPE, PIECE_BPE
 
 AWKWARD = ["", "a", "\n", "a\nb", " a", "a  b", "a ", "it's\n'tis  x \n y", "\n\n", "<|endoftext|>"]
-LETTERS = " \n\t\r\x1c　a b.,'s12é日​\x00😀"
+LETTERS = " \n\t\r\x1c　a b.,'s12éÀßˤ日cd\u200b\x00😀"
 
 
 @pytest.fixture(scope="module")
