@@ -22,6 +22,8 @@ SAMPLE_ROWS = 20_000
 LEXICON_ROWS = 2_000
 #: The commonest words and stems of toxic texts that are compared with clean texts, at most.
 CANDIDATES = 50_000
+#: Characters of a word that is looked at for the lexicon, at most.
+LONGEST = 40
 #: Lengths of the word beginnings that are tried as stems.
 STEMS = (4, 5, 6)
 #: Remainder of crc32(id) by 4 that never trains.
@@ -220,7 +222,8 @@ def _lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     if not 0 < n1 < n:
         return words, {}
     # Java's \W is that of ASCII unless told otherwise.
-    once = F.filter(F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+")), _long(2))
+    once = F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+"))
+    once = F.filter(F.filter(once, _long(2)), lambda w: F.char_length(w) <= LONGEST)
     stems = [F.transform(F.filter("w", _long(k)), _stem(k)) for k in STEMS]
     forms = F.explode(F.array_distinct(F.concat("w", *stems))).alias("form")
     texts = sample.withColumn("w", once)
