@@ -71,7 +71,6 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         [supplier],
         "left",
         spread_by=["o_orderkey"],
-        skew_from=t["lineitem"].withColumnRenamed("l_suppkey", "suppkey"),
     )
     customer = joins.Dimension(
         t["customer"], {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey", "c_mktsegment"]
@@ -140,9 +139,9 @@ def _landed(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
     return path
 
 
-def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def built(spark: SparkSession, sf_dir: str, *outputs: str) -> dict[str, DataFrame]:
     flat = transactions(spark, sf_dir).select(*RAW_COLUMNS)
-    return dimensions.build_dimensions(flat, AS_OF)
+    return dimensions.build_dimensions(flat, AS_OF, outputs=outputs or dimensions.OUTPUTS)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -416,7 +415,7 @@ def star_join(spark, sf_dir):
     customer = joins.Dimension(
         t["customer"], {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment"]
     )
-    return joins.star_join(lines, [customer], skew_from=t["orders"])
+    return joins.star_join(lines, [customer])
 
 
 def salted_join(spark, sf_dir):
@@ -604,19 +603,19 @@ def flat_files_read(spark, sf_dir):
 
 
 def build_dim_customer(spark, sf_dir):
-    return built(spark, sf_dir)["dim_customer"]
+    return built(spark, sf_dir, "dim_customer")["dim_customer"]
 
 
 def build_dim_merchant(spark, sf_dir):
-    return built(spark, sf_dir)["dim_merchant"]
+    return built(spark, sf_dir, "dim_merchant")["dim_merchant"]
 
 
 def build_dim_card(spark, sf_dir):
-    return built(spark, sf_dir)["dim_card"]
+    return built(spark, sf_dir, "dim_card")["dim_card"]
 
 
 def build_fact(spark, sf_dir):
-    return built(spark, sf_dir)["fact_transactions"]
+    return built(spark, sf_dir, "fact_transactions")["fact_transactions"]
 
 
 def build_fact_shared_cards(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,9 @@ from ledgerstar.session import in_parallel, materialize
 from ledgerstar.sources.csv import read_csv, write_csv
 
 
+OUTPUTS = ("dim_customer", "dim_merchant", "dim_card", "fact_transactions")
+
+
 def _schema_of(spark: SparkSession, path: str, **options) -> StructType:
     """The types of a flat file's columns in the order of its own header, which is read here."""
     index, *names = read_csv(spark, path, **options).columns
@@ -133,24 +137,35 @@ def build_dimensions(
     providers: tuple[str, ...] = PROVIDERS,
     seed: str = "",
     narrow_fact: bool = False,
+    outputs: Sequence[str] = OUTPUTS,
 ) -> dict[str, DataFrame]:
     """Customer, merchant, card and fact tables from deduplicated transactions.
 
-    The transactions and the customer records feed several outputs, so each is written once
-    to the shared folder. ``narrow_fact`` keeps only the nine columns of the silver fact.
+    Several ``outputs`` share the transactions and the customer records, so each of these is
+    written once to the shared folder; one dimension alone writes nothing. ``narrow_fact``
+    keeps only the nine columns of the silver fact.
     """
     # Grouping turns -0.0 into 0.0; adding zero does so for every row, so that a row's own
     # key text is that of its group.
     doubles = {name: F.col(name) + 0.0 for name, type_ in transactions.dtypes if type_ == "double"}
-    transactions = materialize(transactions.withColumns(doubles), "transactions")
-    records = materialize(customers(transactions), "customers")
-    facts = fact(transactions, shared_cards(records))
-    return {
-        "dim_customer": records.select(*CUSTOMER_COLUMNS),
-        "dim_merchant": merchants(transactions),
-        "dim_card": cards(records, as_of, providers, seed),
-        "fact_transactions": facts.select(*FACT_COLUMNS) if narrow_fact else facts,
-    }
+    transactions = transactions.withColumns(doubles)
+    shared = len(outputs) > 1 or "fact_transactions" in outputs
+    if shared:
+        transactions = materialize(transactions, "transactions")
+        records = materialize(customers(transactions), "customers")
+    else:
+        records = customers(transactions)
+    built = {}
+    if "dim_customer" in outputs:
+        built["dim_customer"] = records.select(*CUSTOMER_COLUMNS)
+    if "dim_merchant" in outputs:
+        built["dim_merchant"] = merchants(transactions)
+    if "dim_card" in outputs:
+        built["dim_card"] = cards(records, as_of, providers, seed)
+    if "fact_transactions" in outputs:
+        facts = fact(transactions, shared_cards(records))
+        built["fact_transactions"] = facts.select(*FACT_COLUMNS) if narrow_fact else facts
+    return built
 
 
 def land(tables: dict[str, DataFrame], folder: str) -> None:

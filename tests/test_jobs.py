@@ -8,6 +8,7 @@ from urllib.parse import urlsplit
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerstar.__main__ import main
 from ledgerstar.operators.checks import DataTestFailure
 from ledgerstar.operators.joins import orphan_keys
 from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
@@ -269,3 +270,36 @@ def test_results_have_names(spark, landed, tmp_path):
     for name, df in tables.items():
         assert sorted(spark.table(f"named_{name}").collect()) == sorted(df.collect())
     assert spark.table("named_stg_dim_merchant").columns[0] == "merch_long"
+
+
+def test_stages_run_from_the_command_line(spark, flat, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "wh")
+    main(["land", *flat, "--landing", landing, "--as-of", AS_OF])
+    main(["run", "--landing", landing, "--warehouse", out, "--as-of", AS_OF, "--names", "cli_"])
+    assert spark.table("cli_fact_transactions").count() == 4
+    main(["days", "--landing", landing, "--warehouse", f"{out}2", "--as-of", AS_OF])
+    assert read_parquet(spark, f"{out}2/gold/days/fact_transactions").count() == 4
+    with pytest.raises(SystemExit):
+        main(["run", "--landing", landing])
+
+
+def test_paths_of_another_file_system(spark, flat, tmp_path):
+    """Every layer through a mount that only Spark's file systems can resolve."""
+    settings = spark._jsc.hadoopConfiguration()
+    settings.set("fs.viewfs.mounttable.jobs.link./d", f"file://{tmp_path}")
+    files = [path.replace(str(tmp_path), "viewfs://jobs/d") for path in flat]
+    medallion.prepare_landing(spark, files, "viewfs://jobs/d/landing", AS_OF)
+    tables = medallion.run(spark, "viewfs://jobs/d/landing", "viewfs://jobs/d/wh", AS_OF)
+    assert tables["fact_transactions"].count() == 4
+    assert (tmp_path / "wh/gold/fact_transactions").is_dir()
+
+
+@pytest.mark.parametrize("name", ["dim_customer", "dim_merchant", "dim_card"])
+def test_one_dimension_alone_writes_no_transactions(spark, flat, name):
+    folder = Path(urlsplit(shared_folder(spark)).path) / "ledgerstar"
+    rows = dimensions.read_transactions(spark, flat)
+    whole = dimensions.build_dimensions(rows, AS_OF)[name].collect()
+    before = set(folder.glob("transactions-*"))
+    built = dimensions.build_dimensions(rows, AS_OF, outputs=[name])
+    assert list(built) == [name] and sorted(built[name].collect()) == sorted(whole)
+    assert set(folder.glob("transactions-*")) == before
