@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import uuid
 import zipfile
 import zlib
@@ -132,8 +133,6 @@ class WordTokenizer:
     _of: dict[str, "WordTokenizer"] = {}
 
     def __init__(self, path: str, most_words: int = 1_100_000):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

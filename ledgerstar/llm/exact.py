@@ -45,12 +45,15 @@ class DigestIndex:
         fresh = digested.groupBy("text_sha256").agg(
             F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
         )
-        if self.exists():
-            known = self.read().select("text_sha256").hint("merge")
-            # Written first, as a query may not read the table that it appends to.
-            fresh = materialize(fresh.join(known, "text_sha256", "left_anti"), "fresh")
-        writer = fresh.write.bucketBy(self.buckets, "text_sha256").sortBy("text_sha256")
-        writer.mode("append").saveAsTable(self.table)
+        if not self.exists():
+            self._append(fresh.filter(F.lit(False)))
+        known = self.read().select("text_sha256").hint("merge")
+        # Written first, as a query may not read the table that it appends to.
+        self._append(materialize(fresh.join(known, "text_sha256", "left_anti"), "fresh"))
+
+    def _append(self, rows: DataFrame) -> None:
+        writer = rows.write.mode("append").bucketBy(self.buckets, "text_sha256")
+        writer.sortBy("text_sha256").saveAsTable(self.table)
 
 
 def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:

@@ -152,7 +152,8 @@ def pack(lengths: DataFrame, capacity: int = 2048) -> DataFrame:
     packed = whole
     for part in done:
         packed = packed.unionByName(part)
-    packed = materialize(packed.withColumn("sequence_id", F.monotonically_increasing_id()), "packed")
+    packed = packed.withColumn("sequence_id", F.monotonically_increasing_id())
+    packed = materialize(packed, "packed")
     return packed.select("sequence_id", F.inline(F.arrays_zip("items", "offsets"))).select(
         F.col("items").alias("item"), "sequence_id", F.col("offsets").cast("bigint").alias("offset")
     )

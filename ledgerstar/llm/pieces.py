@@ -404,7 +404,8 @@ def encode(docs: DataFrame, model_path: str, n: int = 1) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_ids, texts in _texts(batches):
-            for doc_id, found in zip(doc_ids, Solver.of(model_path, shared.value).solve(texts, n)):
+            solved = Solver.of(model_path, shared.value).solve(texts, n)
+            for doc_id, found in zip(doc_ids, solved):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array([doc_id] * len(found), pa.int64()),
@@ -416,7 +417,8 @@ def encode(docs: DataFrame, model_path: str, n: int = 1) -> DataFrame:
                     }
                 )
 
-    return id_and_text(docs).mapInArrow(run, "doc_id bigint, rank int, score double, ids array<int>")
+    schema = "doc_id bigint, rank int, score double, ids array<int>"
+    return id_and_text(docs).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -454,7 +456,8 @@ def round_trips(docs: DataFrame, model_path: str, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_ids, texts in _texts(batches):
             model, rows = shared.value, []
-            for doc_id, text, found in zip(doc_ids, texts, Solver.of(model_path, model).solve(texts, n)):
+            solved = Solver.of(model_path, model).solve(texts, n)
+            for doc_id, text, found in zip(doc_ids, texts, solved):
                 plain = text.replace(SPACE, " ")
                 same = all(
                     decode_ids(model, np.frombuffer(i, "<u4")) == plain for _, i in found
@@ -468,5 +471,7 @@ def round_trips(docs: DataFrame, model_path: str, n: int) -> DataFrame:
                 ["doc_id", "n_pieces", "ids_crc32", "same_text", "scores"],
             )
 
-    schema = "doc_id bigint, n_pieces bigint, ids_crc32 bigint, same_text boolean, scores array<double>"
+    schema = (
+        "doc_id bigint, n_pieces bigint, ids_crc32 bigint, same_text boolean, scores array<double>"
+    )
     return id_and_text(docs).mapInArrow(run, schema)

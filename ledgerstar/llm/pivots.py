@@ -36,10 +36,11 @@ def whole_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     x = F.col("vector")
     finite = F.forall(x, lambda v: v.isNotNull() & (F.abs(v) < float("inf")) & ~F.isnan(v))
     doubles = F.col("embedding").cast("array<double>")
+    whole = F.transform(x, lambda v: F.floor(v * scale).cast("double"))
     return (
         vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), doubles.alias("vector"))
         .filter(F.col("vec_id").isNotNull() & x.isNotNull() & finite)
-        .select("vec_id", F.transform(x, lambda v: F.floor(v * scale).cast("double")).alias("vector"))
+        .select("vec_id", whole.alias("vector"))
     )
 
 

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import chat, exact, licenses, packing, pieces, pivots, records, simhash, toxicity, warc
+from ledgerstar.llm import (
+    chat,
+    exact,
+    licenses,
+    packing,
+    pieces,
+    pivots,
+    records,
+    simhash,
+    toxicity,
+    warc,
+)
 from ledgerstar.llm.common import table
 from ledgerstar.session import scratch_path
 
@@ -125,7 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_chat_perspectives": """
         WITH turns AS (
-            SELECT conv_id, regexp_replace(coalesce(role, 'unknown'), '[|\\r\\n]', '_', 'g') AS role,
+            SELECT conv_id,
+                regexp_replace(coalesce(role, 'unknown'), '[|\\r\\n]', '_', 'g') AS role,
                 replace(coalesce(text, ''), '<|', '< |') AS text, turn
             FROM conversations),
         numbered AS (

@@ -66,7 +66,8 @@ def base32_sha1(payload: bytes) -> str:
 
 def _line(value: str) -> str:
     """A header value on one line."""
-    return "".join(c if c.isprintable() else "".join(f"%{b:02X}" for b in c.encode()) for c in value)
+    escaped = ("".join(f"%{b:02X}" for b in c.encode()) for c in value)
+    return "".join(c if c.isprintable() else e for c, e in zip(value, escaped))
 
 
 def _name(page_id: int | None) -> str:

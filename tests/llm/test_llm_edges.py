@@ -203,7 +203,8 @@ def test_toxicity_learns_words_and_stems(spark):
     docs, labels = [], []
     for i in range(600):
         bad = i % 6 == 0
-        docs.append((i, f"some clean words here {'zorkle schnabium' + 'abcdef'[i % 5] if bad else 'and'} {i}"))
+        telling = f"zorkle schnabium{'abcdef'[i % 5]}" if bad else "and"
+        docs.append((i, f"some clean words here {telling} {i}"))
         labels.append((i, int(bad)))
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     labels = spark.createDataFrame(labels, "doc_id long, toxic int")
@@ -237,6 +238,8 @@ def test_digest_index_keeps_earlier_batches(spark, rows):
     assert index.read().count() == 3
     index.add(exact.digests(rows(schema, (9, "a"), (8, "c"))))
     assert index.read().count() == 3
+    again = exact.exact_duplicates(rows(schema, (2, "a"), (2, "a")), index).collect()
+    assert [(r["keep_id"], r["kept"]) for r in again] == [(2, False)] * 2
     plan = index.read().alias("a").join(index.read().alias("b"), "text_sha256")
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString().replace(
         "BroadcastExchange", ""

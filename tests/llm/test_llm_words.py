@@ -31,7 +31,8 @@ def test_word_tokenizer_gives_the_ids_of_the_library():
     texts = AWKWARD + [
         "".join(random.choice(LETTERS) for _ in range(random.randint(0, 30))) for _ in range(3000)
     ]
-    found = [x for at in range(0, len(texts), 3) for x in words.encode(pa.array(texts[at : at + 3]))]
+    parts = [pa.array(texts[at : at + 3]) for at in range(0, len(texts), 3)]
+    found = [ids for part in parts for ids in words.encode(part)]
     wanted = words.tokenizer.encode_batch(texts, add_special_tokens=False)
     assert found == [array("H", e.ids).tobytes() for e in wanted]
 
@@ -128,7 +129,8 @@ def test_n_best_equals_all_segmentations(text):
     model = shared_model()
     [found] = pieces.Solver(model).solve([text], 5)
     scores = [s for s, _ in found]
-    wanted = sorted(all_paths(model, "▁" + text.replace(" ", "▁")), reverse=True) if text else [0]
+    spelled = "▁" + text.replace(" ", "▁") if text else ""
+    wanted = sorted(all_paths(model, spelled), reverse=True)
     assert scores == wanted[:5]
     assert len({ids for _, ids in found}) == len(found)
     for _, ids in found:
