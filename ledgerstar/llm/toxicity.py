@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import groupby
-from math import log
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +19,16 @@ from ledgerstar.session import materialize
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: Words and stems that may enter the lexicon, at most.
-LEXICON_ROWS = 2_000
-#: The commonest words and stems of toxic texts that are compared with clean texts, at most.
+#: The commonest words and stems of toxic texts that are looked at, at most.
 CANDIDATES = 50_000
 #: Characters of a word that is looked at for the lexicon, at most.
 LONGEST = 40
 #: Lengths of the word beginnings that are tried as stems.
 STEMS = (4, 5, 6)
+#: Odds, before any count, that a word, a stem or a fixed insult speaks for toxicity.
+WORD_ODDS, STEM_ODDS, INSULT_ODDS = 0.003, 1e-5, 1e3
+#: Texts that the toxic share of a word which tells nothing is spread by.
+SPREAD = 20
 #: Remainder of crc32(id) by 4 that never trains.
 HELD_OUT = 2
 #: From this score on a document counts as toxic.
@@ -50,6 +53,7 @@ REPORTS = """
     dijo escribió llamó
 """.split()
 
+_INSULTS = frozenset(INSULTS)
 _TOKEN = re.compile(r"[^\W_]+|[.!?;:,\n]")
 _CLAUSE_ENDS = frozenset(".!?;:,\n")
 
@@ -138,7 +142,10 @@ def clause_events(symbols: str) -> list[str]:
 
 @dataclass
 class Grammar:
-    """Lexicon with log-odds, and the weights of the events; small, so every task has it."""
+    """Lexicon with weights, and the weights of the events; every task has it.
+
+    A word of the grammar keeps its part there and is never an insult.
+    """
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
@@ -151,23 +158,31 @@ class Grammar:
             for w in some
         }
         self.heads = {s[: STEMS[0]] for s in self.stems}
-        self.marked = {*self.words, *THREATS}
 
     def insult(self, word: str) -> float:
-        """Log-odds of a word or of its longest stem, 0 if it is no insult."""
+        """Weight of a word or of its longest stem, 0 if it is no insult."""
         if word in self.words:
             return self.words[word]
         return next((self.stems[word[:n]] for n in STEMS[::-1] if word[:n] in self.stems), 0.0)
 
     def features(self, text: str) -> np.ndarray:
-        """A constant, then how often each event occurs, insults by their log-odds, damped."""
+        """A constant, then how often each event occurs, insults by their weights, damped.
+
+        A weight counts by its cube, so that in long texts many weak words stay below one strong.
+        """
         totals = np.zeros(len(EVENTS) + 1)
         totals[0] = 1
         tokens = _TOKEN.findall(text.lower())
         different = set(tokens)
         heads, n = self.heads, STEMS[0]
-        notable = self.marked & different
-        notable |= {w for w in different if w[:n] in heads and self.insult(w)}
+        insults = {
+            w: weight
+            for w in different
+            if w not in self.fixed
+            and (w in self.words or w[:n] in heads)
+            and (weight := self.insult(w))
+        }
+        notable = different.intersection(THREATS).union(insults)
         if not notable:
             return totals
         counts = dict.fromkeys(EVENTS, 0.0)
@@ -175,13 +190,11 @@ class Grammar:
             words = list(clause)
             if ends or notable.isdisjoint(words):
                 continue
-            symbols = "".join(
-                "i" if w in notable and w not in THREATS else self.fixed.get(w, "o") for w in words
-            )
-            weights = iter([self.insult(w) for w, s in zip(words, symbols) if s == "i"])
+            symbols = "".join("i" if w in insults else self.fixed.get(w, "o") for w in words)
+            weights = iter([insults[w] for w in words if w in insults])
             for event in clause_events(symbols):
                 threat = event in ("threat", "mild_threat")
-                counts[event] += 1.0 if threat else next(weights) / 4
+                counts[event] += 1.0 if threat else (next(weights) / 4) ** 3
         totals[1:] = np.log1p(list(counts.values()))
         return totals
 
@@ -208,8 +221,56 @@ def _stem(size: int):
     return lambda w: F.concat(F.substring(w, 1, size), F.lit("*"))
 
 
-def _lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems that occur in toxic texts far beyond chance, with their log-odds.
+@lru_cache(1 << 20)
+def _weight(a: int, b: int, share: float, odds: float) -> float:
+    """Log-odds of a form in ``a`` toxic and ``b`` clean texts, times the chance that it tells.
+
+    Of the texts that hold a form, ``share`` are toxic if it tells nothing, and five in six by
+    expectation if it does; Bayes' rule weighs the two. So no count is too small and no form too
+    impure to enter, but one that chance explains as well weighs next to nothing.
+    """
+
+    def likely(toxic: float, clean: float) -> float:
+        return sum(
+            sign * (lgamma(toxic + x) + lgamma(clean + y) - lgamma(toxic + clean + x + y))
+            for sign, x, y in ((1, a, b), (-1, 0, 0))
+        )
+
+    telling = log(odds) + likely(1.0, 0.2) - likely(SPREAD * share, SPREAD * (1 - share))
+    chance = 1 / (1 + exp(-max(-700.0, min(700.0, telling))))
+    return chance * max(0.0, log((a + 1.0) / (b + 0.2)) - log(share / (1 - share)))
+
+
+@dataclass
+class Counts:
+    """In how many different texts, toxic and clean, each form of toxic texts occurs."""
+
+    forms: list[tuple[str, int, int]] = field(default_factory=list)
+    toxic: int = 0
+    texts: int = 0
+
+    def lexicon(self, without: int | None = None) -> tuple[dict[str, float], dict[str, float]]:
+        """Weights of words and stems; a text ``without`` whose own label's count they are.
+
+        A text of the sample must be judged by the others: its own rare words tell its label.
+        """
+        words, stems = {w: 4.0 for w in INSULTS}, {}
+        if not 0 < self.toxic < self.texts:
+            return words, stems
+        share = self.toxic / self.texts
+        for form, a, b in self.forms:
+            a, b = max(0, a - (without == 1)), max(0, b - (without == 0))
+            if form.endswith("*"):
+                stems[form[:-1]] = _weight(a, b, share, STEM_ODDS)
+            else:
+                odds = INSULT_ODDS if form in _INSULTS else WORD_ODDS
+                words[form] = _weight(a, b, share, odds)
+        # A stem counts beyond the words that are known by themselves.
+        return words, stems
+
+
+def _counts(sample: DataFrame) -> Counts:
+    """Count the words and stems of toxic texts.
 
     Copies of a text would make all its words look telling, so each different text counts once.
     """
@@ -218,37 +279,17 @@ def _lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     )
     totals = sample.agg(F.count(F.lit(1)).alias("all"), F.sum("toxic").alias("toxic")).first()
     n, n1 = totals["all"], totals["toxic"] or 0
-    words = {w: 4.0 for w in INSULTS}
     if not 0 < n1 < n:
-        return words, {}
+        return Counts()
     # Java's \W is that of ASCII unless told otherwise.
     once = F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+"))
     once = F.filter(F.filter(once, _long(2)), lambda w: F.char_length(w) <= LONGEST)
     stems = [F.transform(F.filter("w", _long(k)), _stem(k)) for k in STEMS]
     forms = F.explode(F.array_distinct(F.concat("w", *stems))).alias("form")
-    texts = sample.withColumn("w", once)
-    toxic = texts.filter("toxic = 1").select(forms).groupBy("form")
-    toxic = materialize(toxic.agg(F.count(F.lit(1)).alias("a")), "toxic_forms")
-    # So often in toxic texts by chance only, if at all, once among all that are counted.
-    least = max(3.0, (log(max(2, toxic.count())) + 2) / log(n / n1))
-    often = toxic.filter(F.col("a") >= least).orderBy(F.desc("a"), "form").limit(CANDIDATES)
-    often = materialize(often, "often")
-    clean = texts.filter("toxic = 0").select(forms).join(F.broadcast(often.select("form")), "form")
-    clean = clean.groupBy("form").agg(F.count(F.lit(1)).alias("b"))
-    rows = (
-        often.join(clean, "form", "left")
-        .select("form", "a", F.coalesce("b", F.lit(0)).alias("b"))
-        .filter(F.col("b") <= 0.02 * F.col("a"))
-        .orderBy(F.desc("a"), "form")
-        .limit(LEXICON_ROWS)
-        .collect()
-    )
-    found = {}
-    for r in rows:
-        found[r["form"]] = log((r["a"] + 0.5) / (n1 + 1) / ((r["b"] + 0.5) / (n - n1 + 1)))
-    words |= {w: v for w, v in found.items() if not w.endswith("*")}
-    # A stem counts beyond the words that are known by themselves.
-    return words, {w[:-1]: v for w, v in found.items() if w.endswith("*")}
+    seen = sample.withColumn("w", once).select("toxic", forms).groupBy("form")
+    seen = seen.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    seen = seen.filter("a > 0").orderBy(F.desc("a"), "form").limit(CANDIDATES)
+    return Counts([(r["form"], r["a"], r["b"]) for r in seen.collect()], n1, n)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -274,11 +315,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     """
     ready_workers(docs.sparkSession)
     sample = materialize(_training_rows(docs, labels, rows), "labelled")
-    grammar = Grammar(*_lexicon(sample))
+    counts = _counts(sample)
+    grammar = Grammar(*counts.lexicon())
+    others = [Grammar(*counts.lexicon(without)) for without in (0, 1)]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [grammar.features(t.as_py()).tolist() for t in batch.column("text")]
+            x = [
+                others[toxic.as_py()].features(text.as_py()).tolist()
+                for text, toxic in zip(batch.column("text"), batch.column("toxic"))
+            ]
             yield pa.RecordBatch.from_arrays([pa.array(x), batch.column("toxic")], ["x", "toxic"])
 
     seen = sample.mapInArrow(measure, "x array<double>, toxic int")
