@@ -51,12 +51,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays.
 
-    Rows without an id are dropped if their group has an id, else nothing tells them apart.
+    Rows are told apart by id and fingerprint. Rows without an id are dropped if their group
+    has an id, else nothing tells them apart.
     """
     found = simhash.near_duplicates(docs)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = gone.select(
+        F.col("doc_id").alias("gone_id"), F.col("fingerprint").alias("gone_code")
+    ).distinct()
+    gone = materialize(gone, "near_copies")
+    names, code = docs.columns, _free(docs, "code")
+    coded = simhash.with_fingerprint(docs, code)
+    same = coded["doc_id"].eqNullSafe(gone["gone_id"]) & (coded[code] == gone["gone_code"])
+    left = coded.join(gone, same, "left_anti")
+    return left.select(*[left[c] for c in names])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,20 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return id_and_text(docs).mapInArrow(code, "doc_id bigint, code bigint")
 
 
+def with_fingerprint(docs: DataFrame, name: str, shingle: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, and the fingerprint of each in 16 hex digits.
+
+    Equal to ``fingerprint`` of ``near_duplicates``.
+    """
+    ready_workers(docs.sparkSession)
+
+    @F.arrow_udf("string")
+    def code(texts: pa.Array) -> pa.Array:
+        return pa.array([f"{fingerprint(t.as_py(), shingle):016x}" for t in texts], pa.string())
+
+    return docs.withColumn(name, code(F.coalesce(F.col("text"), F.lit(""))))
+
+
 def gray_rank(code: Column) -> Column:
     """Place of a code in Gray order: each bit is the parity of the bits from the top to it.
 

@@ -395,6 +395,19 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
         assert {r["doc_id"] for r in packed.collect()} == set(ids)
 
 
+def test_near_copies_go_by_id_and_fingerprint(spark, rows):
+    one, two = "a text that is found once more", "of this there is another copy here"
+    docs = rows(
+        "doc_id long, text string, code string",
+        (1, one, "stays"), (None, one, "goes"), (None, "unlike all others", "stays"),
+        (None, None, "stays"), (3, two, "stays"), (7, two, "goes"), (7, "also unlike", "stays"),
+        (8, "the same id twice", "stays"), (8, "and no copy of it", "stays"),
+    )
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    assert left.filter("code = 'stays'").count() == left.count() == 7
+
+
 def test_damaged_archives_are_refused():
     data, _ = warc.record(7, "http://a.org", "2026-01-01T00:00:07Z", b"x" * 100_000, None, False)
     whole = warc.packed(data) * 2
