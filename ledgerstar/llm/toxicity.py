@@ -6,12 +6,13 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from hashlib import sha256
 from itertools import groupby
 from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.llm.common import id_and_text, in_set_share, ready_workers
@@ -19,10 +20,8 @@ from ledgerstar.session import materialize
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: The commonest words and stems of toxic texts that are looked at, at most.
-CANDIDATES = 50_000
-#: Characters of a word that is looked at for the lexicon, at most.
-LONGEST = 40
+#: Characters of a word from which on the lexicon holds its SHA-256 instead.
+LONG_WORD = 64
 #: Lengths of the word beginnings that are tried as stems.
 STEMS = (4, 5, 6)
 #: Odds, before any count, that a word, a stem or a fixed insult speaks for toxicity.
@@ -161,8 +160,9 @@ class Grammar:
 
     def insult(self, word: str) -> float:
         """Weight of a word or of its longest stem, 0 if it is no insult."""
-        if word in self.words:
-            return self.words[word]
+        key = sha256(word.encode()).hexdigest() if len(word) >= LONG_WORD else word
+        if key in self.words:
+            return self.words[key]
         return next((self.stems[word[:n]] for n in STEMS[::-1] if word[:n] in self.stems), 0.0)
 
     def features(self, text: str) -> np.ndarray:
@@ -179,7 +179,7 @@ class Grammar:
             w: weight
             for w in different
             if w not in self.fixed
-            and (w in self.words or w[:n] in heads)
+            and (w in self.words or w[:n] in heads or len(w) >= LONG_WORD)
             and (weight := self.insult(w))
         }
         notable = different.intersection(THREATS).union(insults)
@@ -217,6 +217,10 @@ def _long(size: int):
     return lambda w: F.char_length(w) > size
 
 
+def _key(w: Column) -> Column:
+    return F.when(F.char_length(w) >= LONG_WORD, F.sha2(w, 256)).otherwise(w)
+
+
 def _stem(size: int):
     return lambda w: F.concat(F.substring(w, 1, size), F.lit("*"))
 
@@ -283,12 +287,13 @@ def _counts(sample: DataFrame) -> Counts:
         return Counts()
     # Java's \W is that of ASCII unless told otherwise.
     once = F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+"))
-    once = F.filter(F.filter(once, _long(2)), lambda w: F.char_length(w) <= LONGEST)
+    once = F.filter(once, _long(2))
     stems = [F.transform(F.filter("w", _long(k)), _stem(k)) for k in STEMS]
-    forms = F.explode(F.array_distinct(F.concat("w", *stems))).alias("form")
+    short = F.transform("w", _key)
+    forms = F.explode(F.array_distinct(F.concat(short, *stems))).alias("form")
     seen = sample.withColumn("w", once).select("toxic", forms).groupBy("form")
     seen = seen.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    seen = seen.filter("a > 0").orderBy(F.desc("a"), "form").limit(CANDIDATES)
+    seen = seen.filter("a > 0")
     return Counts([(r["form"], r["a"], r["b"]) for r in seen.collect()], n1, n)
 
 

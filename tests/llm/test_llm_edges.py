@@ -226,6 +226,18 @@ def test_toxicity_recall_on_held_out_rows(spark):
     assert found.get((0, 1), 0) <= 5
 
 
+def test_toxicity_learns_long_words(spark):
+    telling = "zork" * 30
+    docs = [(i, f"some words {telling if i % 6 == 0 else 'zork' * 29}") for i in range(600)]
+    labels = [(i, int(i % 6 == 0)) for i in range(600)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    # Each different text counts once, so they are made to differ.
+    docs = docs.withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id")))
+    grammar = toxicity.fit(docs, labels)
+    assert grammar.insult(telling) > 4 > 1 > grammar.insult("zork" * 29)
+
+
 def test_exact(spark, odd, empty):
     found = exact.exact_duplicates(odd).collect()
     assert len(found) == len(DOCS)
