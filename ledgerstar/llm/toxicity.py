@@ -203,14 +203,24 @@ class Grammar:
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Texts and labels of at most ``rows`` labelled documents, chosen by a hash of the id."""
+    """``text, toxic, n`` of at most ``rows`` labelled documents, chosen by a hash of the id.
+
+    Rows that repeat an id together with its text are one document, ``n`` rows of it.
+    """
     share = in_set_share(F.col("doc_id"))
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     known = known.filter(F.col("toxic").isin(0, 1) & (share != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # At most ``rows`` pairs of numbers go to the tasks.
-    return id_and_text(docs).join(F.broadcast(known), "doc_id").select("text", "toxic")
+    found = id_and_text(docs).join(F.broadcast(known), "doc_id")
+    found = found.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(
+        F.max("text").alias("text"), F.max("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")
+    )
+    found = materialize(found, "labelled_texts")
+    first = found.select("doc_id", "digest").orderBy(F.xxhash64("doc_id"), "doc_id", "digest")
+    found = found.join(F.broadcast(first.limit(rows)), ["doc_id", "digest"], "left_semi")
+    return found.select("text", "toxic", "n")
 
 
 def _long(size: int):
@@ -297,13 +307,16 @@ def _counts(sample: DataFrame) -> Counts:
     return Counts([(r["form"], r["a"], r["b"]) for r in seen.collect()], n1, n)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
-    """Logistic regression by Newton steps, drawn towards the weights that hold before data."""
+def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Logistic regression by Newton steps, drawn towards the weights that hold before data.
+
+    Row i of ``x`` and ``y`` counts ``n[i]`` times.
+    """
     weights, pull = _PRIOR.copy(), 0.5
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - y) + pull * (weights - _PRIOR)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(weights))
+        gradient = x.T @ (n * (p - y)) + pull * (weights - _PRIOR)
+        curve = (x * (n * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(weights))
         move = np.linalg.solve(curve, gradient)
         weights -= move * min(1.0, 2.0 / max(1e-9, np.abs(move).max()))
         if np.abs(move).max() < 1e-8:
@@ -330,17 +343,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
                 others[toxic.as_py()].features(text.as_py()).tolist()
                 for text, toxic in zip(batch.column("text"), batch.column("toxic"))
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(x), batch.column("toxic")], ["x", "toxic"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x), batch.column("toxic"), batch.column("n")], ["x", "toxic", "n"]
+            )
 
-    seen = sample.mapInArrow(measure, "x array<double>, toxic int")
+    seen = sample.mapInArrow(measure, "x array<double>, toxic int, n bigint")
     # Most rows have no event; equal rows go to the driver as one.
-    measured = seen.groupBy("x", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    measured = seen.groupBy("x", "toxic").agg(F.sum("n").alias("n")).collect()
     if measured:
         order = sorted((r["x"], r["toxic"], r["n"]) for r in measured)
-        x = np.array([r[0] for r in order for _ in range(r[2])])
-        y = np.array([r[1] for r in order for _ in range(r[2])], float)
+        x, y, n = (np.array(column, float) for column in zip(*order))
         if 0 < y.sum() < len(y):
-            grammar.weights = _fit(x, y)
+            grammar.weights = _fit(x, y, n)
     return grammar
 
 

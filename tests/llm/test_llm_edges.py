@@ -238,6 +238,15 @@ def test_toxicity_learns_long_words(spark):
     assert grammar.insult(telling) > 4 > 1 > grammar.insult("zork" * 29)
 
 
+def test_toxicity_bounds_rows_of_one_id(spark, rows):
+    texts = [(1, "same text")] * 50 + [(1, f"text {i}") for i in range(20)]
+    docs = rows("doc_id long, text string", *texts)
+    labels = rows("doc_id long, toxic int", (1, 1))
+    assert toxicity._training_rows(docs, labels, 5).count() == 5
+    found = toxicity._training_rows(docs, labels, 100).collect()
+    assert len(found) == 21 and sum(r["n"] for r in found) == 70
+
+
 def test_exact(spark, odd, empty):
     found = exact.exact_duplicates(odd).collect()
     assert len(found) == len(DOCS)
