@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 HOT_KEYS = 500
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, rows_total: int) -> DataFrame:
+def attach(
+    rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, rows_total: int
+) -> DataFrame:
     """Inner join of ``rows`` with ``groups``, which has each key once and its rows in ``size``.
 
     The sizes prove that at most ``HOT_KEYS`` groups are hot, so these few join by broadcast and
@@ -18,7 +20,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, rows_total:
     """
     hot_if = F.col(size) * HOT_KEYS >= F.lit(max(rows_total, HOT_KEYS * 2))
     hot, cold = groups.filter(hot_if), groups.filter(~hot_if)
-    hot_keys = F.broadcast(hot.select(key))
+    hot_keys = F.broadcast(hot.select(*([key] if isinstance(key, str) else key)))
     return rows.join(F.broadcast(hot), key).unionByName(
         rows.join(hot_keys, key, "left_anti").join(cold, key)
     )

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from ledgerstar.llm import (
     chat,
     exact,
+    lexical,
     licenses,
+    ngrams,
     packing,
     pieces,
     pivots,
     records,
     simhash,
     toxicity,
+    vafile,
     warc,
 )
 from ledgerstar.llm.common import table
@@ -120,6 +123,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's nearest of 40 centroids after five rounds."""
+    return vafile.cluster(vafile.whole_rows(table(spark, sf_dir, "embeddings")))
+
+
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group by Jaccard similarity of its shingles of four words."""
+    return ngrams.similar_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's 50 best documents."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.search(docs, items, top=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scan": op2_license_scan,
@@ -131,8 +150,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc_index_merge": op9_warc_index_merge,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
+    "op13_ranked_search": op13_ranked_search,
 }
 
+
+def _clustering_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Rounds of assignment and means one after another, as common table expressions."""
+    parts = [
+        """WITH kept AS MATERIALIZED (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE len(embedding) = 64
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY hash) - 1 AS c, v AS m FROM (
+                SELECT v, sha256('2:' || vec_id) AS hash FROM kept ORDER BY hash LIMIT {clusters}))""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT vec_id, v, near.c, near.d FROM (
+                SELECT vec_id, any_value(v) AS v, min(struct_pack(d := (list_inner_product(v, v)
+                    - 2 * list_inner_product(v, m) + list_inner_product(m, m))::BIGINT, c := c)) AS near
+                FROM kept, c{i} GROUP BY vec_id))"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+            SELECT o.c, coalesce(n.m, o.m) AS m FROM c{i} o LEFT JOIN (
+                SELECT c, list(floor(s / n) ORDER BY place) AS m FROM (
+                    SELECT c, place, sum(x) AS s, count(*) AS n FROM (
+                        SELECT c, unnest(v) AS x, unnest(range(64)) AS place FROM a{i})
+                    GROUP BY c, place) GROUP BY c) n ON o.c = n.c)"""
+            )
+    return ", ".join(parts) + f"""
+        SELECT vec_id, a.c::INT AS cluster, d AS distance,
+            sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+            sum(d) OVER ()::BIGINT AS inertia,
+            sha256(array_to_string([x::BIGINT::VARCHAR FOR x IN m], ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON a.c = c.c
+    """
+
+
 ORACLES: dict[str, str] = {
     "op3_chat_perspectives": """
         WITH turns AS (
@@ -176,6 +236,56 @@ ORACLES: dict[str, str] = {
                 PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
         WHERE rank <= 5
     """,
+    "op11_centroid_clustering": _clustering_sql(),
+    "op12_ngram_jaccard_join": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        held AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s
+            FROM split),
+        flat AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM held),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+        SELECT h.doc_id, len(s)::BIGINT AS n_shingles, min(r.b) AS component_id
+        FROM held h JOIN reached r ON h.doc_id = r.a GROUP BY h.doc_id, len(s)
+    """,
+    "op13_ranked_search": """
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        counted AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        sizes AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+        weights AS MATERIALIZED (
+            SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM counted, whole GROUP BY term, docs),
+        asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf)
+                // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (doc_id),
+                whole
+            GROUP BY item_id, doc_id)
+        SELECT item_id, rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+            FROM scored WHERE score > 0)
+        WHERE rank <= 50
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256,
