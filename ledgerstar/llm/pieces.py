@@ -162,22 +162,27 @@ class Words:
         # Character p of word w lies between nodes p + w and p + w + 1.
         begin = starts + word[starts]
         end = begin + lengths
-        score = np.where(pieces >= 0, model.units[pieces], model.unknown_score)
+        units = np.append(model.units, model.unknown_score)
+        # A run so long that its score could pass 62 bits is counted in Python's integers.
+        wide = int(np.abs(units).max()) * int(sizes.max()) >= 1 << 61
+        score = units.astype(object if wide else np.int64)[pieces]
         at = end - (first + np.arange(len(keys)))[word[starts]]
         order = np.lexsort((end, at))
         begin, end, score, at = begin[order], end[order], score[order], at[order]
         lengths, pieces = lengths[order], pieces[order]
 
         nodes = len(code) + len(keys)
-        best = np.zeros(nodes, np.int64)
+        best = np.zeros(nodes, score.dtype)
         taken = np.zeros(nodes, np.int64)  # length of the last piece
         steps = np.flatnonzero(np.diff(at, prepend=0))
         for a, b in zip(steps, [*steps[1:], len(at)]):
-            value = ((best[begin[a:b]] + score[a:b]) << 5) + lengths[a:b]
+            value = best[begin[a:b]] + score[a:b]
             group = np.flatnonzero(np.diff(end[a:b], prepend=-1))
             top = np.maximum.reduceat(value, group)
+            ties = value == np.repeat(top, np.diff(group, append=b - a))
             into = end[a:b][group]
-            best[into], taken[into] = top >> 5, top & 31
+            best[into] = top
+            taken[into] = np.maximum.reduceat(np.where(ties, lengths[a:b], 0), group)
         piece_of = np.zeros(nodes, np.int64)
         chosen = lengths == taken[end]
         piece_of[end[chosen]] = pieces[chosen]
@@ -194,7 +199,7 @@ class Words:
         # The best detour of each word leaves its best path once.
         detour = on_path[end] & ~chosen
         loss = best[end[detour]] - best[begin[detour]] - score[detour]
-        self.loss = np.full(len(keys), np.iinfo(np.int64).max)
+        self.loss = np.full(len(keys), np.iinfo(np.int64).max, score.dtype)
         node_word = np.repeat(np.arange(len(keys)), sizes + 1)
         np.minimum.at(self.loss, node_word[end[detour]], loss)
         self.score = best[tails]
@@ -255,6 +260,11 @@ def n_best(model: PieceModel, words: list[str], n: int) -> list[tuple[int, list[
     Forward scores come first. Then A* goes back from the end: a hypothesis is a path from some
     node to the end, and its own score plus the forward score of the node is exactly the score
     of its best completion. So complete paths leave the heap in order of score.
+
+    Of equal bounds the newest hypothesis goes first. One that is taken off has a successor of
+    the same bound, so each path is complete after at most as many steps as there are characters,
+    and the heap holds at most that many for each path and for each length of a piece, however
+    many segmentations tie.
     """
     edges: list[list[tuple[int, int, list[int]]]] = [[]]  # into each node: from, score, ids
     borders = []
@@ -274,7 +284,7 @@ def n_best(model: PieceModel, words: list[str], n: int) -> list[tuple[int, list[
         forward.append(max(forward[a] + s for a, s, _ in into))
     heads = set(borders)
     last = len(edges) - 1
-    # (-score of the best completion, order of arrival, node, own score, path)
+    # (-score of the best completion, newest first, node, own score, path)
     heap = [(-forward[last], 0, last, 0, None)]
     arrived, found = 0, []
     while heap and len(found) < n:
@@ -288,12 +298,12 @@ def n_best(model: PieceModel, words: list[str], n: int) -> list[tuple[int, list[
                 split[-1] += ids
             found.append((-bound, split))
             continue
-        # Long pieces first, so that ties come in the order of the best path.
-        for begin, score, ids in edges[node]:
+        # Long pieces last, so that ties come in the order of the best path.
+        for begin, score, ids in reversed(edges[node]):
             arrived += 1
             total = own + score
             heapq.heappush(
-                heap, (-(total + forward[begin]), arrived, begin, total, (begin, ids, path))
+                heap, (-(total + forward[begin]), -arrived, begin, total, (begin, ids, path))
             )
     return found
 
