@@ -196,19 +196,21 @@ def _clustering_sql(clusters: int = 40, rounds: int = 5) -> str:
 ORACLES: dict[str, str] = {
     "op3_chat_perspectives": """
         WITH turns AS (
-            SELECT conv_id,
-                regexp_replace(coalesce(role, 'unknown'), '[|\\r\\n]', '_', 'g') AS role,
+            SELECT conv_id, role, CASE WHEN role IS NULL THEN '_none' ELSE replace(replace(replace(
+                    replace(role, '_', '__'), '|', '_p'), chr(13), '_r'), chr(10), '_l') END AS name,
                 replace(coalesce(text, ''), '<|', '< |') AS text, turn
             FROM conversations),
         numbered AS (
             SELECT *, row_number() OVER (PARTITION BY conv_id
-                ORDER BY turn NULLS FIRST, role, text) - 1 AS rank FROM turns),
-        speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'),
+                ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS rank FROM turns),
+        speakers AS (
+            SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role IS DISTINCT FROM 'system'),
         rendered AS (
-            SELECT n.conv_id, speaker, (rank // 64)::INT AS part, rank, role = speaker AS learn,
-                CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker
-                    THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END
-                    || chr(10) AS header,
+            SELECT n.conv_id, speaker, (rank // 64)::INT AS part, rank,
+                role IS NOT DISTINCT FROM speaker AS learn,
+                CASE WHEN role IS NOT DISTINCT FROM 'system' THEN '<|system|>'
+                    WHEN role IS NOT DISTINCT FROM speaker THEN '<|assistant|>'
+                    ELSE '<|user name=' || name || '|>' END || chr(10) AS header,
                 text || '<|end|>' || chr(10) AS body
             FROM numbered n JOIN speakers s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
         placed AS (
