@@ -27,10 +27,10 @@ ARCHIVE_BYTES = 64 << 20
 MERGE_ROWS = 200_000
 
 _RUN = (
-    "run string, url_key string, time string, page_id bigint, position bigint, length bigint, "
-    "kind string, digest string"
+    "run string, url_key string, second bigint, page_id bigint, position bigint, length bigint, "
+    "kind string, digest string, time string"
 )
-_KEY = ["url_key", "time", "run", "position"]
+_KEY = ["url_key", "second", "run", "position"]
 _READ = (
     "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
     "refers_to bigint, run string, position bigint"
@@ -148,6 +148,18 @@ def _page(name: str) -> int | None:
     return None if found == "none" else int(found)
 
 
+#: Second 0 of a capture, and the seconds whose dates a record can print.
+BEGIN = datetime(2026, 1, 1, tzinfo=timezone.utc)
+_FIRST = -((BEGIN - datetime(1, 1, 1, tzinfo=timezone.utc)) // timedelta(seconds=1))
+_LAST = (datetime(9999, 12, 31, 23, 59, 59, tzinfo=timezone.utc) - BEGIN) // timedelta(seconds=1)
+
+
+def printed(second: int) -> str:
+    """The date of a capture; beyond the years 1 to 9999 the first or last second of them."""
+    moment = BEGIN + timedelta(seconds=min(max(second, _FIRST), _LAST))
+    return f"{moment.year:04d}{moment:-%m-%dT%H:%M:%SZ}"
+
+
 def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages with ``keep_id`` (largest page_id of their payload, which holds it) and ``revisit``.
 
@@ -174,9 +186,11 @@ def write_archives(
     Archives are ``.warc.gz``, each record a gzip member of its own at its ``position``.
 
     Columns ``page_id, url, html``, all nullable; a null html is empty. ``time`` is the second
-    of the capture, by default ``page_id`` seconds from 2026. Every archive has a run: its
-    captures sorted by URL key and time. The runs are a Parquet table that Spark commits, and
-    only archives it names count, so a task that runs again leaves nothing double.
+    of the capture, by default ``page_id``, counted from 2026 and null as 0. Captures are in
+    order of that whole number; the date that a record prints stays within the years 1 to 9999
+    (see ``printed``). Every archive has a run: its captures sorted by URL key and second. The
+    runs are a Parquet table that Spark commits, and only archives it names count, so a task
+    that runs again leaves nothing double.
     """
     ready_workers(pages.sparkSession)
     folder = f"{path}/archives"
@@ -187,7 +201,6 @@ def write_archives(
         "html",
         second.cast("bigint").alias("second"),
     )
-    begin = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out, rows = TaskContext.get().partitionId(), None, []
@@ -202,8 +215,7 @@ def write_archives(
                 if out is None:
                     file, position = f"{folder}/{part:06d}-{uuid.uuid4().hex}.warc.gz", 0
                     out = File.create(file)
-                moment = begin + timedelta(seconds=row["second"] % (1 << 35))
-                time = moment.strftime("%Y-%m-%dT%H:%M:%SZ")
+                time = printed(row["second"])
                 data, digest = record(
                     row["page_id"], row["url"], time, row["payload"], row["keep_id"], row["revisit"]
                 )
@@ -211,7 +223,8 @@ def write_archives(
                 out.write(data)
                 kind = "revisit" if row["revisit"] else "response"
                 key, size = url_key(row["url"]), len(data)
-                rows.append((file, key, time, row["page_id"], position, size, kind, digest))
+                found = row["second"], row["page_id"], position, size, kind, digest, time
+                rows.append((file, key, *found))
                 position += len(data)
                 if position >= ARCHIVE_BYTES:
                     yield run()
