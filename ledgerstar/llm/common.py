@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from ledgerstar.session import shared_folder
 
-#: Rows of an Arrow batch of whole texts; very long texts must not pile up in one batch.
+#: Rows and bytes of an Arrow batch; very long texts must not pile up in one batch.
 TEXT_BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +42,14 @@ _shipped: set[str] = set()
 
 
 def ready_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package, and bound the rows that go to one at once.
+    """Let Python workers import this package, and bound the rows and bytes that go to one at once.
 
-    One text may have megabytes, so batches are small. The package goes to the executors as
+    One text may have megabytes, so batches are small; the bounds are settings of the session
+    and stay, as Spark reads them when a job starts. The package goes to the executors as
     a zip file in the shared folder, once per application, as any job's own code does.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = Path(__file__).resolve().parents[1]
@@ -126,8 +129,9 @@ class WordTokenizer:
 
     The byte-level pattern never lets a token span a single space or line break between two
     characters that are not white space. Such texts are cut there, words seen before come from
-    a dictionary of at most ``most_words``, and the library encodes the others. Any other text
-    goes to the library whole, so the ids are always those of the library.
+    a dictionary of at most ``most_words``, and the library encodes the others. Any other text,
+    and one that holds an added token such as an end mark, goes to the library whole, so the ids
+    are always those of the library.
     """
 
     _of: dict[str, "WordTokenizer"] = {}
@@ -137,7 +141,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts that hold one of these are cut there by the library, wherever it stands.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         parts = json.loads(self.tokenizer.to_str())
         kind = parts["pre_tokenizer"] or {}
         usual = kind.get("use_regex") and not kind.get("add_prefix_space")
@@ -216,7 +221,14 @@ class WordTokenizer:
         found = list(map(known.get, words))
         missing = [w for w, ids in zip(words, found) if ids is None]
         # An edge that is white space needs the library's own view of the whole text.
-        odd = {w for w in missing if not (bare := w.removeprefix("\n")) or _spaced(bare)}
+        # So does a word with an added token, which would cut the shared lines of new words.
+        odd = {
+            w
+            for w in missing
+            if not (bare := w.removeprefix("\n"))
+            or _spaced(bare)
+            or any(content in bare for content in self.added)
+        }
         if missing:
             if learn := [w for w in missing if w not in odd]:
                 self._learn(learn)
@@ -229,13 +241,16 @@ class WordTokenizer:
         stops = taken.offsets.to_numpy()[split.offsets.to_numpy()]
         raw = taken.values.to_numpy().tobytes()
         result = [raw[2 * a + 2 : 2 * b] for a, b in zip(stops.tolist(), stops[1:].tolist())]
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         if odd:
             at = [i for i, w in enumerate(words) if w in odd]
             places = np.flatnonzero(np.isin(number, at))
-            rows = np.searchsorted(split.offsets.to_numpy(), places, "right") - 1
-            rows = np.unique(rows).tolist()
-            for row, ids in zip(rows, self._whole([texts[i].as_py() for i in rows])):
-                result[row] = ids
+            whole[np.searchsorted(split.offsets.to_numpy(), places, "right") - 1] = True
+        rows = np.flatnonzero(whole).tolist()
+        for row, ids in zip(rows, self._whole([texts[i].as_py() for i in rows])):
+            result[row] = ids
         return result
 
 
@@ -248,6 +263,13 @@ def _spaced(word: str) -> bool:
     return word[0].isspace() or word[-1].isspace()
 
 
+def single_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one, so that of large ones only one is opened at a time."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
 def text_batches(
     batches: Iterator[pa.RecordBatch], size: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
