@@ -14,12 +14,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import id_and_text, ready_workers
+from ledgerstar.llm.common import id_and_text, ready_workers, single_rows
 from ledgerstar.session import materialize
 
 #: Documents of a block, and different terms summed over its documents, at most (or one document).
-BLOCK_DOCS = 2048
-BLOCK_TERMS = 1 << 18
+BLOCK_DOCS = 1024
+BLOCK_TERMS = 1 << 17
+#: Terms of all blocks that a task fills at a time; beyond it the largest block is closed.
+OPEN_TERMS = 4 * BLOCK_TERMS
 #: Slices that a term sets, and slices per entry of the document that has most.
 HASHES = 3
 SLICES_PER_ENTRY = 10
@@ -74,18 +76,21 @@ class _Block:
         self.numbers: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.size = 0
+        self.closed = False
 
     def add(self, doc_id: int | None, found: Counter[bytes]) -> None:
         number = self.number
         self.ids.append(doc_id)
-        self.numbers.append(np.array([number.setdefault(t, len(number)) for t in found]))
-        self.counts.append(np.array(list(found.values())))
+        self.numbers.append(
+            np.array([number.setdefault(t, len(number)) for t in found], np.uint32)
+        )
+        self.counts.append(np.array(list(found.values()), np.uint32))
         self.lengths.append(int(self.counts[-1].sum()))
         self.size += len(found)
 
     @property
     def full(self) -> bool:
-        return len(self.ids) >= BLOCK_DOCS or self.size >= BLOCK_TERMS
+        return self.closed or len(self.ids) >= BLOCK_DOCS or self.size >= BLOCK_TERMS
 
     def row(self, block: int) -> pa.RecordBatch:
         known = sorted(self.number)
@@ -144,6 +149,10 @@ def build_index(docs: DataFrame) -> DataFrame:
                 kind = len(found).bit_length()
                 into = waiting.setdefault(kind, _Block())
                 into.add(doc_id, found)
+                if not into.full and sum(b.size for b in waiting.values()) > OPEN_TERMS:
+                    kind = max(waiting, key=lambda k: waiting[k].size)
+                    into = waiting[kind]
+                    into.closed = True
                 if into.full:
                     yield waiting.pop(kind).row(block)
                     block += 1
@@ -253,7 +262,7 @@ def _search(index: DataFrame, queries: Queries, total: int, length: int, top: in
     """Each block's ``top`` best of each item, at least as good as the item's floor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
+        for row in single_rows(batches):
             block, rows, ids, scores = Block(row, queries, total, length), [], [], []
             asked = zip(queries.rows, queries.places, queries.weights, queries.floors)
             for item, places, weights, least in asked:

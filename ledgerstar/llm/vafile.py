@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import File, ready_workers
+from ledgerstar.llm.common import File, ready_workers, single_rows
 from ledgerstar.session import materialize, scratch_path
 
 #: Cells of a dimension are equal parts of the range that a block has there: 2 to this power.
@@ -207,7 +207,7 @@ def assign(state: DataFrame, centroids: list[list[int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(points.shape, np.int64)
         counts, read = np.zeros(len(points), np.int64), 0
-        for row in (r for batch in batches for r in batch.to_pylist()):
+        for row in single_rows(batches):
             near, far = intervals(row, points)
             able = near <= far.min(axis=1)[:, None]
             old = np.frombuffer(row["cluster"], "<i4")
@@ -246,7 +246,7 @@ def _places(state: DataFrame, centroids: list[list[int]]) -> DataFrame:
     points = np.array(centroids, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
+        for row in single_rows(batches):
             near, far = intervals(row, points)
             values = fetch(row, np.arange(row["rows"]), points.shape[1])
             able = near <= far.min(axis=1)[:, None]
