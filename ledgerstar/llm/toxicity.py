@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import sha256
 from itertools import groupby
 from math import exp, lgamma, log
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.llm.common import id_and_text, in_set_share, ready_workers
@@ -53,7 +55,9 @@ REPORTS = """
 """.split()
 
 _INSULTS = frozenset(INSULTS)
-_TOKEN = re.compile(r"[^\W_]+|[.!?;:,\n]")
+# A word goes on past combining marks, as decomposed accents and vowel signs are.
+_MARK = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if category(c).startswith("M"))
+_TOKEN = re.compile(rf"[^\W_]+(?:[{_MARK}]+[^\W_]*)*|[.!?;:,\n]")
 _CLAUSE_ENDS = frozenset(".!?;:,\n")
 
 # What a clause may hold, and how far each speaks for toxicity before any label is seen.
@@ -160,7 +164,7 @@ class Grammar:
 
     def insult(self, word: str) -> float:
         """Weight of a word or of its longest stem, 0 if it is no insult."""
-        key = sha256(word.encode()).hexdigest() if len(word) >= LONG_WORD else word
+        key = _key(word)
         if key in self.words:
             return self.words[key]
         return next((self.stems[word[:n]] for n in STEMS[::-1] if word[:n] in self.stems), 0.0)
@@ -172,8 +176,8 @@ class Grammar:
         """
         totals = np.zeros(len(EVENTS) + 1)
         totals[0] = 1
-        tokens = _TOKEN.findall(text.lower())
-        different = set(tokens)
+        found = tokens(text)
+        different = set(found)
         heads, n = self.heads, STEMS[0]
         insults = {
             w: weight
@@ -186,7 +190,7 @@ class Grammar:
         if not notable:
             return totals
         counts = dict.fromkeys(EVENTS, 0.0)
-        for ends, clause in groupby(tokens, _CLAUSE_ENDS.__contains__):
+        for ends, clause in groupby(found, _CLAUSE_ENDS.__contains__):
             words = list(clause)
             if ends or notable.isdisjoint(words):
                 continue
@@ -223,16 +227,19 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return found.select("text", "toxic", "n")
 
 
-def _long(size: int):
-    return lambda w: F.char_length(w) > size
+def tokens(text: str) -> list[str]:
+    """Words in lower case, and the marks that end clauses; learning and scoring share it."""
+    return _TOKEN.findall(text.lower())
 
 
-def _key(w: Column) -> Column:
-    return F.when(F.char_length(w) >= LONG_WORD, F.sha2(w, 256)).otherwise(w)
+def _key(word: str) -> str:
+    return sha256(word.encode()).hexdigest() if len(word) >= LONG_WORD else word
 
 
-def _stem(size: int):
-    return lambda w: F.concat(F.substring(w, 1, size), F.lit("*"))
+def forms(text: str) -> set[str]:
+    """The different words of over two characters, and the beginnings that count as stems."""
+    words = {w for w in tokens(text) if len(w) > 2}
+    return {_key(w) for w in words} | {f"{w[:n]}*" for n in STEMS for w in words if len(w) > n}
 
 
 @lru_cache(1 << 20)
@@ -295,14 +302,20 @@ def _counts(sample: DataFrame) -> Counts:
     n, n1 = totals["all"], totals["toxic"] or 0
     if not 0 < n1 < n:
         return Counts()
-    # Java's \W is that of ASCII unless told otherwise.
-    once = F.array_distinct(F.split(F.lower("text"), r"(?U)[\W_]+"))
-    once = F.filter(once, _long(2))
-    stems = [F.transform(F.filter("w", _long(k)), _stem(k)) for k in STEMS]
-    short = F.transform("w", _key)
-    forms = F.explode(F.array_distinct(F.concat(short, *stems))).alias("form")
-    seen = sample.withColumn("w", once).select("toxic", forms).groupBy("form")
-    seen = seen.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, toxic in zip(batch.column("text"), batch.column("toxic")):
+                found = sorted(forms(text.as_py()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([toxic.as_py()] * len(found), pa.int32()), pa.array(found, pa.string())],
+                    ["toxic", "form"],
+                )
+
+    seen = sample.select("toxic", "text").mapInArrow(split, "toxic int, form string")
+    seen = seen.groupBy("form").agg(
+        F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
+    )
     seen = seen.filter("a > 0")
     return Counts([(r["form"], r["a"], r["b"]) for r in seen.collect()], n1, n)
 
