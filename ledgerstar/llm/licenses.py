@@ -136,8 +136,8 @@ class Index:
     def matches(self, text_words: list[bytes]) -> list[tuple[int, int, int, float]]:
         """(template, first word, end, containment) of each place, in no order.
 
-        A phrase gives each place where its words stand in a row. A notice gives its best block
-        of each stretch of blocks that meet the threshold and lie over each other.
+        A phrase gives each place where its words stand in a row. A notice gives every block that
+        meets the threshold while no shorter block within it does: see ``_blocks``.
         """
         if self.keys.isdisjoint(text_words):
             return []
@@ -186,7 +186,13 @@ class Index:
 
     @staticmethod
     def _blocks(t: Template, around, places, text_words) -> Iterator[tuple[int, int, float]]:
-        """Slide a block over the template's words near the anchors."""
+        """All minimal blocks, by sliding over the template's words near the anchors.
+
+        A block is minimal if it meets the threshold and loses that without its first or its last
+        word. Each is returned by its start, with the greatest share that a block of at most
+        ``width`` words has from there, and the end of the shortest such block. So of notices
+        side by side each is found, whichever is the more complete.
+        """
         near, last = [], -1
         for index, at in around:
             low = index
@@ -200,32 +206,34 @@ class Index:
                     near.append(places[i])
             last = max(last, high)
         held: Counter[bytes] = Counter()
-        begin, best = 0, None
+        begin = 0
         for end, (at, word) in enumerate(near):
             held[word] += 1
-            while at - near[begin][0] >= t.width:
+            while at - near[begin][0] >= t.width or (
+                held[near[begin][1]] > 1 or len(held) > t.overlap
+            ):
                 gone = near[begin][1]
                 held[gone] -= 1
                 if not held[gone]:
                     del held[gone]
                 begin += 1
-            if best and near[begin][0] >= best[1]:
-                yield best
-                best = None
-            if len(held) >= t.overlap:
-                share = len(held) / len(t.different)
-                if best is None or share > best[2]:
-                    best = (near[begin][0], at + 1, share)
-        if best:
-            yield best
+            if len(held) == t.overlap and held[word] == 1:
+                first, most, stop, seen = near[begin][0], 0, 0, set()
+                for i in range(begin, len(near)):
+                    if near[i][0] - first >= t.width:
+                        break
+                    seen.add(near[i][1])
+                    if len(seen) > most:
+                        most, stop = len(seen), near[i][0] + 1
+                yield first, stop, most / len(t.different)
 
 
 def scan_documents(docs: DataFrame, scan: list[Template] | None = None) -> DataFrame:
     """One row per document with all its matches: ``doc_id, n_words, matches``.
 
     ``matches`` is an array of (label, phrase, start, stop, containment), words counted from 0,
-    by start, stop and label. A block is a run of ``width`` words anywhere in the text, so none
-    is missed at a border. The first pass counts the templates' words in all texts, the second
+    by start, stop and label. A block is a run of up to ``width`` words anywhere in the text, so
+    none is missed at a border, and every minimal one that meets the threshold is listed. The first pass counts the templates' words in all texts, the second
     joins each text with the prefix index; nothing is shuffled but those counts. Null and empty
     texts have no words; rows that repeat are scanned each.
     """
