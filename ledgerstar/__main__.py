@@ -16,10 +16,10 @@ def parser() -> argparse.ArgumentParser:
     land = stages.add_parser("land", help="split flat files and write the landing CSV files")
     land.add_argument("files", nargs="+")
     run = stages.add_parser("run", help="landing to bronze, silver and gold, then the data tests")
-    run.add_argument("--names", help="prefix under which the results can be queried by name")
     days = stages.add_parser("days", help="the same, replacing only the days of the landed fact")
     for stage in (run, days):
         stage.add_argument("--warehouse", required=True)
+        stage.add_argument("--names", help="prefix under which the results can be queried by name")
     for stage in (land, run, days):
         stage.add_argument("--landing", required=True)
         stage.add_argument("--as-of", help="the day that ages and card dates count from")
@@ -39,7 +39,9 @@ def main(arguments: list[str] | None = None) -> None:
             spark, given.landing, given.warehouse, given.as_of, given.names, **options
         )
     else:
-        medallion.run_days(spark, given.landing, given.warehouse, given.as_of, **options)
+        medallion.run_days(
+            spark, given.landing, given.warehouse, given.as_of, names=given.names, **options
+        )
 
 
 if __name__ == "__main__":

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,21 +29,29 @@ from ledgerstar.operators.columns import (
     spread,
     to_int,
 )
-from ledgerstar.operators.dedup import concat, latest_per_key, sort_rows
+from ledgerstar.operators.day_checks import DayCounts
+from ledgerstar.operators.dedup import LatestRows, concat, latest_per_key, sort_rows
+from ledgerstar.operators.registry import KeyRegistry
 from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
 from ledgerstar.schemas import DAY_PARTITIONS, RAW_COLUMNS, text_schema
 from ledgerstar.session import materialize, scratch_path
-from ledgerstar.sources.csv import read_csv, write_csv
-from ledgerstar.sources.parquet import read_parquet, write_parquet, write_partitioned
+from ledgerstar.sources.csv import read_csv, read_csv_split, write_csv
+from ledgerstar.sources.parquet import (
+    read_parquet,
+    write_observed,
+    write_parquet,
+    write_partitioned,
+)
 from ledgerstar.sources.tables import (
     Sources,
     as_view,
     copy_into,
     empty_table_like,
+    save_bucketed,
     save_table,
     table_from_parquet,
 )
-from ledgerstar.streaming.load import load_new_files
+from ledgerstar.streaming.load import load_new_files, load_new_rows
 
 # Ages and issue dates are counted from this day, so that results do not move.
 AS_OF = "2026-01-01"
@@ -248,6 +257,44 @@ def incremental_load(spark, sf_dir):
     return read_parquet(spark, target)
 
 
+def overlapping_drops(spark, sf_dir):
+    """Two drops of orders, those of status O in both: every order arrives once."""
+    orders = tables(spark, sf_dir)["orders"]
+    drop, target = scratch_path(spark, "drop"), scratch_path(spark, "loaded")
+    checkpoint = scratch_path(spark, "progress")
+    for status in ("P", "F"):
+        orders.filter(F.col("o_orderstatus") != status).write.mode("append").parquet(drop)
+        load_new_rows(
+            spark, drop, orders.schema, target, checkpoint, ["o_orderkey"], "o_orderdate", "4000 days"
+        )
+    return read_parquet(spark, target)
+
+
+def _ragged_customers(spark, sf_dir):
+    """Customers as CSV: some lines lack a field, some have one more, some a word for a number."""
+    customer = tables(spark, sf_dir)["customer"]
+    names = customer.columns
+    fields = [F.col(c).cast("string") for c in names]
+    kind = F.col("c_custkey") % 8
+    balance = F.when(kind == 2, "n/a").otherwise(fields[3])
+    line = F.concat_ws(",", *fields[:3], balance)
+    line = F.when(kind == 0, line).otherwise(F.concat_ws(",", line, fields[4]))
+    line = F.when(kind == 1, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = scratch_path(spark, "ragged")
+    # One column whose name and values are whole lines; the separator never occurs in them.
+    whole = customer.select(line.alias(",".join(names)))
+    whole.write.options(header=True, sep="\x01").csv(path)
+    return read_csv_split(spark, path, customer.schema)
+
+
+def csv_survivors(spark, sf_dir):
+    return _ragged_customers(spark, sf_dir)[0]
+
+
+def csv_quarantine(spark, sf_dir):
+    return _ragged_customers(spark, sf_dir)[1].select("line")
+
+
 def _table_name(stem: str) -> str:
     return f"{stem}_{uuid.uuid4().hex}"
 
@@ -415,7 +462,35 @@ def star_join(spark, sf_dir):
     customer = joins.Dimension(
         t["customer"], {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment"]
     )
-    return joins.star_join(lines, [customer])
+    # Hot customers show in the orders; the joined lines would have to be built to look.
+    return joins.star_join(lines, [customer], skew_from=t["orders"])
+
+
+def bucketed_join(spark, sf_dir):
+    """Lines with their orders, both kept in buckets by order, so neither moves."""
+    t = tables(spark, sf_dir)
+    saved = [
+        save_bucketed(df, _table_name(name), scratch_path(spark, "buckets"), [key], 8)
+        for name, df, key in (
+            ("lines", t["lineitem"], "l_orderkey"),
+            ("orders", t["orders"].select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey"),
+        )
+    ]
+    lines, orders = saved
+    return lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
+
+
+def pruned_by_join(spark, sf_dir):
+    """Orders of Mondays: the calendar's filter decides while running which days are scanned."""
+    path, schema = _partitioned_orders(spark, sf_dir)
+    orders = tables(spark, sf_dir)["orders"]
+    dates = orders.select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    calendar = write_parquet(
+        bronze.with_day(dates, "date").withColumn("weekday", F.weekday("date")),
+        scratch_path(spark, "calendar"),
+    )
+    mondays = calendar.filter("weekday = 0").select(*DAY_PARTITIONS)
+    return read_parquet(spark, path, schema).join(mondays, DAY_PARTITIONS)
 
 
 def salted_join(spark, sf_dir):
@@ -513,6 +588,42 @@ def latest_per_key_query(spark, sf_dir):
     return latest_per_key(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 
+def latest_by_batches(spark, sf_dir):
+    """The newest order of each customer, from a state that takes in one status after another."""
+    orders = tables(spark, sf_dir)["orders"]
+    state = LatestRows(
+        spark, scratch_path(spark, "latest"), ["o_custkey"], "o_orderdate", ["o_orderkey"]
+    )
+    for status in ("O", "F", "P"):
+        state.update(orders.filter(F.col("o_orderstatus") == status))
+    return state.read()
+
+
+def stable_keys(spark, sf_dir):
+    """Orders with the key of their customer, who may have moved between two loads.
+
+    The first load knows two thirds of the customers. In the second all are there, and those
+    who moved have another segment; keys given in the first load stay, so every order of either
+    load finds its customer.
+    """
+    t = tables(spark, sf_dir)
+    registry = KeyRegistry(
+        spark, scratch_path(spark, "registry"), {"c_custkey": "bigint"}, "cust_uuid"
+    )
+    attributes = ["c_custkey", "c_name", "c_mktsegment"]
+    moved = F.when(F.col("c_custkey") % 5 == 0, "MOVED").otherwise(F.col("c_mktsegment"))
+    first = t["customer"].select(*attributes).filter("c_custkey % 3 <> 0")
+    second = t["customer"].select(*attributes).withColumn("c_mktsegment", moved)
+    orders = t["orders"].select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    facts = []
+    for known, part in ((first, "c_custkey % 3 <> 0"), (second, "c_custkey % 3 = 0")):
+        registry.register(known, surrogate_key(*attributes))
+        facts.append(materialize(registry.attach(orders.filter(part)), "facts"))
+    fact = facts[0].unionByName(facts[1]).drop("c_custkey")
+    dim = registry.attach(second)
+    return fact.join(dim, "cust_uuid").select("o_orderkey", "cust_uuid", "c_name", "c_mktsegment")
+
+
 def latest_of_few_keys(spark, sf_dir):
     """The newest line of each supplier: newest dates first, by hashing, then their lines."""
     lines = tables(spark, sf_dir)["lineitem"]
@@ -595,6 +706,38 @@ def data_test_report(spark, sf_dir):
     return checks.data_test_report(found, declared)
 
 
+def observed_not_null(spark, sf_dir):
+    """The counts of ``not_null_tests``, gathered by the write of the table itself."""
+    orders = tables(spark, sf_dir)["orders"]
+    with_nulls = orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    figures = checks.null_figures(["o_orderkey", "o_orderpriority", "o_orderdate"])
+    _, found = write_observed(with_nulls, scratch_path(spark, "observed"), figures)
+    return checks.not_null_observed(spark, found)
+
+
+def tests_by_day(spark, sf_dir):
+    """Tests over all days from counts per day: two runs, then January 1996 again, now without
+    the rows that the first run had twice."""
+    t = tables(spark, sf_dir)
+    orders = bronze.with_day(t["orders"], "o_orderdate")
+    orders = orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    in_credit = t["customer"].filter("c_acctbal >= 0")
+    declared = {
+        "not_null": ["o_orderkey", "o_orderpriority"],
+        "unique": ["o_orderkey", "o_custkey"],
+        "relationships": {"o_custkey": ("in_credit", "c_custkey")},
+    }
+    kept = DayCounts(
+        spark, scratch_path(spark, "counts"), declared["unique"], declared["not_null"]
+    )
+    january = orders.filter("year = '1996' and month = '01'")
+    early = F.col("year") < "1997"
+    for run in (orders.filter(early).unionByName(january), orders.filter(~early)):
+        kept.keep(kept.stage(run, scratch_path(spark, "staged")))
+    staged = kept.stage(january, scratch_path(spark, "staged"))
+    return kept.report("orders", declared, {"in_credit": in_credit}, staged)
+
+
 # --- jobs ----------------------------------------------------------------------------------
 
 
@@ -722,6 +865,32 @@ def named_gold_fact(spark, sf_dir):
     return fact.join(staged.select("merch_uuid", "merch_lat"), "merch_uuid")
 
 
+def publish_after_tests(spark, sf_dir):
+    """A second run has some transactions twice and fails its tests: readers keep the first's."""
+    names, place = _table_name("wh") + "_", scratch_path(spark, "warehouse")
+    built_tables = built(spark, sf_dir)
+    fact = built_tables["fact_transactions"]
+    twice = built_tables | {"fact_transactions": fact.unionByName(fact.filter("is_fraud = 1"))}
+    medallion.run(spark, _landed(spark, built_tables), place, AS_OF, names, even_folders=True)
+    with suppress(checks.DataTestFailure):
+        medallion.run(spark, _landed(spark, twice), place, AS_OF, names, even_folders=True)
+    return spark.table(f"{names}fact_transactions")
+
+
+def named_days(spark, sf_dir):
+    """The gold fact by name after two daily runs, each of which registers its own days alone."""
+    names, place = _table_name("wh") + "_", scratch_path(spark, "warehouse")
+    built_tables = built(spark, sf_dir)
+    fact = built_tables["fact_transactions"]
+    moment = F.col("trans_date_trans_time")
+    for days in (moment < "1996-02-01", moment >= "1996-01-01"):
+        part = built_tables | {"fact_transactions": fact.filter(days)}
+        medallion.run_days(
+            spark, _landed(spark, part), place, AS_OF, even_folders=True, names=names
+        )
+    return spark.table(f"{names}fact_transactions")
+
+
 def gold_tests(spark, sf_dir):
     return gold.gold_test_report(warehouse(spark, sf_dir))
 
@@ -769,6 +938,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "card_enrichment": card_enrichment,
     "tier_lookup": tier_lookup,
     "salted_join": salted_join,
+    "bucketed_join": bucketed_join,
+    "pruned_by_join": pruned_by_join,
+    "overlapping_drops": overlapping_drops,
+    "csv_survivors": csv_survivors,
+    "csv_quarantine": csv_quarantine,
+    "latest_by_batches": latest_by_batches,
+    "stable_keys": stable_keys,
+    "observed_not_null": observed_not_null,
+    "tests_by_day": tests_by_day,
+    "publish_after_tests": publish_after_tests,
+    "named_days": named_days,
     "left_key_attach": left_key_attach,
     "null_safe_key_attach": null_safe_key_attach,
     "aligned_key_join": aligned_key_join,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerstar.session import materialize
+from ledgerstar.sources.snapshots import Snapshots, version_name
 
 
 def concat(*frames: DataFrame) -> DataFrame:
@@ -55,6 +56,44 @@ def _newest_rows(df: DataFrame, keys: list[str], newest: str) -> DataFrame:
     return df.join(greatest, reduce(Column.__and__, same), "left_semi")
 
 
+class LatestRows:
+    """The latest row per key, kept up to date from new rows alone.
+
+    The state is one row per key. The latest of a key's old and new rows is the latest of all,
+    as ``latest_per_key`` orders rows in full, so batches may come in any order, overlap, or come
+    again. Rows cannot be taken back. Each update writes a new version, which readers see when
+    it is whole; the last two versions are kept.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        keys: list[str],
+        newest: str,
+        tie_break: list[str] | None = None,
+    ):
+        self.spark, self.keys, self.newest, self.tie_break = spark, keys, newest, tie_break
+        self.snapshots = Snapshots(spark, folder)
+
+    def read(self) -> DataFrame:
+        return self.snapshots.read("latest")
+
+    def update(self, rows: DataFrame) -> DataFrame:
+        """Take in ``rows``, which are cut to one per key before they meet the state."""
+        latest = self._latest(rows)
+        if self.snapshots.current() is not None:
+            latest = self._latest(latest.unionByName(self.read()))
+        version = version_name()
+        latest.write.parquet(f"{self.snapshots.path(version)}/latest")
+        self.snapshots.publish(version)
+        self.snapshots.expire(keep=2)
+        return self.read()
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, self.keys, self.newest, self.tie_break)
+
+
 def sort_rows(
     df: DataFrame, ascending: list[str], descending: list[str] | tuple[str, ...] = ()
 ) -> DataFrame:

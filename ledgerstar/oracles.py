@@ -315,6 +315,31 @@ join (values {_list(f"('{n}', {a}, {b}, {c})" for n, (a, b, c) in CARD_TIERS.ite
 with lines as (select * replace (case when l_orderkey % 3 = 0 then 1 else l_suppkey end
                                  as l_suppkey) from lineitem)
 select lines.*, s_name from lines join supplier on s_suppkey = l_suppkey""",
+    "bucketed_join": """
+select lineitem.*, o_orderkey, o_custkey, o_orderdate
+from lineitem join orders on o_orderkey = l_orderkey""",
+    "pruned_by_join": f"""
+select *, {_day_parts("o_orderdate")} from orders where isodow(o_orderdate) = 1""",
+    "overlapping_drops": "select * from orders",
+    "csv_survivors": "select * from customer where c_custkey % 8 not in (0, 1, 2)",
+    "csv_quarantine": """
+select concat_ws(',', c_custkey, c_name, c_nationkey,
+                 case when c_custkey % 8 = 2 then 'n/a' else cast(c_acctbal as varchar) end,
+                 case when c_custkey % 8 <> 0 then c_mktsegment end,
+                 case when c_custkey % 8 = 1 then 'more' end) as line
+from customer where c_custkey % 8 in (0, 1, 2)""",
+    "latest_by_batches": """
+select * from orders
+qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1""",
+    "stable_keys": f"""
+with moved as (
+  select *, case when c_custkey % 5 = 0 then 'MOVED' else c_mktsegment end as now,
+         case when c_custkey % 3 <> 0 or c_custkey % 5 <> 0 then c_mktsegment else 'MOVED' end
+           as first_seen
+  from customer)
+select o_orderkey, {_key("c_custkey", "c_name", "first_seen")} as cust_uuid, c_name,
+       now as c_mktsegment
+from orders join moved on c_custkey = o_custkey""",
     "left_key_attach": f"""
 select orders.*, cust_uuid from orders
 left join (select c_custkey, {_key("c_custkey")} as cust_uuid from customer
@@ -383,6 +408,21 @@ having count(*) > 1""",
 select 'o_orderkey' as "column", count(*) filter (o_orderkey is null) as failures from orders
 union all select 'o_orderpriority', count(*) filter (o_orderpriority = '5-LOW') from orders
 union all select 'o_orderdate', count(*) filter (o_orderdate is null) from orders""",
+    "observed_not_null": """
+select 'o_orderkey' as "column", count(*) filter (o_orderkey is null) as failures from orders
+union all select 'o_orderpriority', count(*) filter (o_orderpriority = '5-LOW') from orders
+union all select 'o_orderdate', count(*) filter (o_orderdate is null) from orders""",
+    "tests_by_day": f"""
+with in_credit as {_IN_CREDIT},
+spoilt as (select * replace (nullif(o_orderpriority, '5-LOW') as o_orderpriority) from orders)
+select 'orders' as "table", "column", test, failures
+from ({_test_report({
+    "spoilt": {
+        "not_null": ["o_orderkey", "o_orderpriority"],
+        "unique": ["o_orderkey", "o_custkey"],
+        "relationships": {"o_custkey": ("in_credit", "c_custkey")},
+    },
+})}) report""",
     "data_test_report": f"""
 with in_credit as {_IN_CREDIT},
 spoilt as (select * replace (nullif(o_orderpriority, '5-LOW') as o_orderpriority) from orders)
@@ -445,6 +485,9 @@ from fact_transactions""",
     "named_gold_fact": f"""
 with {_GOLD} select fact_transactions.*, merch_lat
 from fact_transactions join dim_merchant using (merch_uuid)""",
+    "publish_after_tests": f"with {_GOLD} select * from fact_transactions",
+    "named_days": f"""
+with {_GOLD} select *, {_day_parts("trans_date_trans_time")} from fact_transactions""",
     "gold_tests": f"with {_GOLD} {_test_report(GOLD_TESTS)}",
     "gold_lost_facts": f"""
 with {_GOLD}

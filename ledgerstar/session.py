@@ -71,10 +71,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """A path as Hadoop's object, and the file system that it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; none is fine."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, system = file_system(spark, path)
+    system.delete(place, True)
 
 
 @contextmanager

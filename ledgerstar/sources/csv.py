@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # A doubled quote stands for a quote; Spark's own default, a backslash, splits such fields.
 _QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
+_BAD_LINE = "_bad_line"
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -33,6 +36,31 @@ def read_csv(
     return reader.options(**options).csv(path)
 
 
+def read_csv_split(
+    spark: SparkSession, path: str | list[str], schema: StructType, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Scan CSV files that may hold malformed rows: the good rows, and the others with their file.
+
+    A row with a value that does not parse, or with too many or too few fields, is bad: the
+    second frame has its whole line as ``line`` and the ``file`` it came from. Every field is
+    parsed, whichever columns are used, so that a row is good or bad for all readers. The header is checked as in
+    ``read_csv``; a file with another header fails the job.
+    """
+    whole = StructType([*schema.fields, StructField(_BAD_LINE, StringType())])
+    reader = spark.read.options(
+        **_QUOTING, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE, enforceSchema=False
+    )
+    rows = reader.schema(whole).options(columnPruning=False, **options).csv(path)
+    bad = F.col(_BAD_LINE).isNotNull()
+    good = rows.filter(~bad).drop(_BAD_LINE)
+    # Spark refuses queries that use nothing but the line, so the test names the fields too.
+    fields = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in schema.names])
+    others = rows.filter(bad & (F.length(fields) >= 0)).select(
+        F.col(_BAD_LINE).alias("line"), F.col("_metadata.file_path").alias("file")
+    )
+    return good, others
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write CSV files with a header, times as ISO text, spaces at the ends of text kept.
 

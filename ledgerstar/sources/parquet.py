@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -22,6 +22,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFram
     return read_parquet(df.sparkSession, path, df.schema)
 
 
+def write_observed(
+    df: DataFrame, path: str, figures: dict[str, Column], mode: str = "overwrite"
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write a flat table and gather aggregates over its rows on the way; nothing is read twice.
+
+    The figures are taken in the tasks that write, the last of the job, whose results Spark
+    counts once per partition also when a task is repeated.
+    """
+    if not figures:
+        return write_parquet(df, path, mode), {}
+    seen = Observation()
+    named = [figure.alias(name) for name, figure in figures.items()]
+    written = write_parquet(df.observe(seen, *named), path, mode)
+    return written, dict(seen.get)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class Sources:
@@ -42,6 +43,46 @@ def table_from_parquet(
     return spark.table(name)
 
 
+def register_partitions(
+    spark: SparkSession, name: str, columns: list[str], rows: list[tuple], path: str
+) -> DataFrame:
+    """Tell a partitioned table of the folders of some partitions; no other folder is listed.
+
+    ``rows`` has the values of the partition ``columns``. A partition that the table knows stays
+    as it is, and its files are read anew. One statement names a bounded number of partitions.
+    """
+    for at in range(0, len(rows), 500):
+        parts = []
+        for values in rows[at : at + 500]:
+            named = ", ".join(f"{c} = '{v}'" for c, v in zip(columns, values))
+            folder = "/".join(f"{c}={v}" for c, v in zip(columns, values))
+            parts.append(f"PARTITION ({named}) LOCATION '{path}/{folder}'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def partitioned_table(
+    spark: SparkSession, name: str, schema: StructType, columns: list[str], path: str
+) -> None:
+    """A catalog table over folders by ``columns``, none of which it knows yet."""
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(columns)
+    spark.sql(f"CREATE TABLE {name} ({types}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table in ``buckets`` by hash of ``keys``, each sorted by them.
+
+    Tables that are bucketed alike join on these keys where they lie: neither side moves, however
+    often they are joined. One file per bucket, as the rows are brought together first.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def empty_table_like(spark: SparkSession, name: str, like_path: str, path: str) -> DataFrame:
     """An empty table at ``path`` with the columns of the Parquet files at ``like_path``."""
     schema = spark.read.parquet(like_path).schema

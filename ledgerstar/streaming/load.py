@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -35,3 +36,41 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+
+
+def load_new_rows(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    target: str,
+    checkpoint: str,
+    keys: list[str],
+    time: str,
+    delay: str,
+    files_per_batch: int = 10_000,
+) -> None:
+    """As ``load_new_files``, and a row that an earlier file brought already is not added again.
+
+    Rows are the same if they agree in all of ``keys``. The state store keeps the keys of rows
+    until the newest ``time`` seen has passed theirs by ``delay``, across calls; so a repeat is
+    found if it comes within that delay, and state is bounded by it. A row whose ``time`` is
+    further back than the delay when it arrives is dropped as too late: choose the delay so that
+    overlapping drops lie within it. State is spread over the shuffle partitions by key.
+    """
+    query = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")
+        .parquet(source)
+        .withColumn("_event_time", F.col(time).cast("timestamp"))  # a watermark needs a zone
+        .withWatermark("_event_time", delay)
+        .dropDuplicatesWithinWatermark(keys)
+        .drop("_event_time")
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
