@@ -51,11 +51,11 @@ def read_csv_split(
         **_QUOTING, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE, enforceSchema=False
     )
     rows = reader.schema(whole).options(columnPruning=False, **options).csv(path)
-    bad = F.col(_BAD_LINE).isNotNull()
-    good = rows.filter(~bad).drop(_BAD_LINE)
     # Spark refuses queries that use nothing but the line, so the test names the fields too.
     fields = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in schema.names])
-    others = rows.filter(bad & (F.length(fields) >= 0)).select(
+    bad = F.col(_BAD_LINE).isNotNull() & (F.length(fields) >= 0)
+    good = rows.filter(~bad).drop(_BAD_LINE)
+    others = rows.filter(bad).select(
         F.col(_BAD_LINE).alias("line"), F.col("_metadata.file_path").alias("file")
     )
     return good, others
