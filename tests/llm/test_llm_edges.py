@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -10,13 +12,16 @@ from ledgerstar.llm import (
     chat,
     components,
     exact,
+    lexical,
     licenses,
+    ngrams,
     packing,
     pieces,
     pivots,
     records,
     simhash,
     toxicity,
+    vafile,
     warc,
 )
 from ledgerstar.llm.queries import BYTE_BPE, PIECE_BPE
@@ -84,12 +89,12 @@ def test_chat(spark):
     ]
     found = chat.perspectives(spark.createDataFrame(turns, schema)).collect()
     by = {(r["conv_id"], r["speaker"]): r for r in found}
-    assert set(by) == {(1, "ann"), (1, "bob_x"), (1, "unknown"), (None, "ann")}
+    assert set(by) == {(1, "ann"), (1, "bob|x"), (1, None), (None, "ann")}
     ann = by[1, "ann"]
     assert ann["text"] == (
-        "<|user name=unknown|>\nfirst<|end|>\n<|system|>\nBe kind<|end|>\n"
+        "<|user name=_none|>\nfirst<|end|>\n<|system|>\nBe kind<|end|>\n"
         "<|assistant|>\nhi<|end|>\n<|assistant|>\n<|end|>\n"
-        "<|user name=bob_x|>\nyes < |end|><|end|>\n"
+        "<|user name=bob_px|>\nyes < |end|><|end|>\n"
     )
     assert [ann["text"][s["start"] : s["end"]] for s in ann["spans"]] == [
         "hi<|end|>\n", "<|end|>\n",
@@ -98,6 +103,21 @@ def test_chat(spark):
     assert chat.perspectives(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_like_names_are_different_speakers(spark):
+    roles = ["a|b", "a_b", "a_pb", None, "unknown", "_none", "a\nb", "a\rb", ""]
+    turns = [(1, t, role, f"say {t}", "x", 3) for t, role in enumerate(roles)]
+    frame = spark.createDataFrame(
+        turns, "conv_id long, turn long, role string, text string, speaker string, name int"
+    )
+    found = chat.perspectives(frame).collect()
+    assert {r["speaker"] for r in found} == set(roles) and len(found) == len(roles)
+    for r in found:
+        at = roles.index(r["speaker"])
+        assert [r["text"][s["start"] : s["end"]] for s in r["spans"]] == [f"say {at}<|end|>\n"]
+        headers = [x for x in r["text"].split("\n") if x.startswith("<|")]
+        assert len(set(headers)) == len(roles) and "<|assistant|>" in headers
+
+
 def test_long_dialogue_comes_in_parts(spark):
     turns = [(7, t, "ann" if t % 2 else "bob", f"say {t}") for t in range(10_000)]
     frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
@@ -280,6 +300,18 @@ def test_digest_index_keeps_earlier_batches(spark, rows):
     spark.sql("drop table digests_of_two_batches")
 
 
+def test_two_batches_leave_no_table(spark, rows):
+    before = {t.name for t in spark.catalog.listTables()}
+    values = [(i, "abc"[i % 3]) for i in range(20)] + [(None, "a"), (None, "z"), (19, "b")]
+    found = exact.exact_duplicates(rows("doc_id long, text string", *values)).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    largest = {t: max((i for i, x in values if x == t and i is not None), default=None) for t in "abcz"}
+    sizes = {t: sum(x == t for _, x in values) for t in "abcz"}
+    wanted = [(i, largest[t], sizes[t], i == largest[t]) for i, t in values]
+    got = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in found]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
 def test_simhash(spark, odd, empty):
     found = simhash.near_duplicates(odd).collect()
     assert len(found) == len(DOCS)
@@ -429,6 +461,143 @@ def test_near_copies_go_by_id_and_fingerprint(spark, rows):
     assert left.filter("code = 'stays'").count() == left.count() == 7
 
 
+def test_near_copies_that_share_the_smallest_id(spark, rows):
+    base = " ".join(f"w{i}" for i in range(400))
+    texts = [(8, base), (8, base + " x"), (9, base), (8, base), (7, "other words here now")]
+    docs = rows("doc_id long, text string", *texts)
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [7, 8]
+
+
+def test_captures_are_in_order_of_any_second(spark, rows):
+    ids = [0, 5, -1, -(1 << 40), (1 << 35) + 1, 1 << 35, (1 << 62), -(1 << 62), None]
+    pages = rows("page_id long, url string, html string", *[(i, "http://a/", f"{i}") for i in ids])
+    runs = warc.write_archives(pages, scratch_path(spark, "w"))
+    found = [r["page_id"] for r in warc.merge_runs(runs).orderBy("place").collect()]
+    known = sorted(i for i in ids if i is not None)
+    assert [i for i in found if i is not None] == known
+    assert found.index(None) in (known.index(0), known.index(0) + 1)  # null is second 0
+    assert warc.read_archives(runs).count() == len(ids)
+
+
+def test_clustering(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0], 1), (1, [1.0, 2.0], 2), (1, [1.0, 2.0], 2), (2, [-3.5, 0.25], 3),
+        (3, None, 4), (4, [nan, 1.0], 5), (5, [None, 1.0], 6), (6, [inf, 0.0], 7),
+        (7, [1.0], 8), (None, [9.0, 9.0], 9), (8, [], 10),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, cluster int")
+    found = vafile.cluster(vafile.whole_rows(vectors, dims=2), clusters=40, dims=2).collect()
+    assert sorted((-1 if r["vec_id"] is None else r["vec_id"]) for r in found) == [-1, 0, 1, 1, 2]
+    assert all(r["distance"] == 0 for r in found if r["vec_id"] is not None)
+    assert len(found) == 5 and len({r["inertia"] for r in found}) == 1
+    assert sum({r["cluster"]: r["cluster_inertia"] for r in found}.values()) == found[0]["inertia"]
+    nothing = vafile.whole_rows(vectors.limit(0), dims=2)
+    assert vafile.cluster(nothing, dims=2).count() == 0
+    unnamed = vafile.whole_rows(vectors.filter("vec_id is null"), dims=2)
+    assert vafile.cluster(unnamed, dims=2).count() == 0
+    with pytest.raises(Exception, match="beyond"):
+        large = spark.createDataFrame([(1, [1e9, 0.0])], "vec_id long, embedding array<double>")
+        vafile.cluster(vafile.whole_rows(large, dims=2), dims=2).collect()
+
+
+def test_clustering_equals_brute_force_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "BLOCK", 37)
+    random = np.random.default_rng(8)
+    values = np.floor(random.normal(size=(600, 5)) * 40).astype(int)
+    values[200:400] = values[3]  # a third of all rows are one vector
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, vector array<long>"
+    )
+    read = []
+    found = vafile.cluster(frame.repartition(5), 9, 4, "s", 5, read).collect()
+    first = sorted(range(600), key=lambda i: hashlib.sha256(f"s{i}".encode()).hexdigest())[:9]
+    points = values[first].copy()
+    nearest = lambda: ((values[:, None] - points) ** 2).sum(axis=2)
+    for _ in range(4):
+        own = nearest().argmin(axis=1)
+        for k in set(own):
+            points[k] = values[own == k].sum(axis=0) // (own == k).sum()
+    away = nearest()
+    own, least = away.argmin(axis=1), away.min(axis=1)
+    for r in found:
+        i = r["vec_id"]
+        assert (r["cluster"], r["distance"], r["inertia"]) == (own[i], least[i], least.sum())
+        text = ",".join(map(str, points[own[i]]))
+        assert r["centroid_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert len(found) == 600 and read[0] == 600 and read[-1] < 600
+
+
+def test_ngram_groups(spark, odd, empty):
+    found = ngrams.similar_groups(odd).collect()
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in found)
+    assert got == [
+        (0, 0, None), (0, 1, None), (1, 1, 1), (2, 0, 2), (3, 0, 3), (4, 5, 4), (5, 1, 1), (5, 1, 1),
+    ]
+    assert ngrams.similar_groups(empty).count() == 0
+    blank = odd.filter("text is null or text = ''")
+    assert ngrams.similar_groups(blank).count() == 3
+
+
+def _edited(random, base, share):
+    return [f"n{random.integers(1 << 30)}" if random.random() < share else w for w in base]
+
+
+@pytest.mark.parametrize("sizes", [None, (8, 2), (3, 1)])
+def test_ngram_groups_equal_brute_force(spark, monkeypatch, sizes):
+    """Families of copies with few and many edits; small blocks make every step run."""
+    if sizes:
+        monkeypatch.setattr(ngrams, "BLOCK_SETS", sizes[0])
+        monkeypatch.setattr(ngrams, "PIVOTS", sizes[1])
+    random = np.random.default_rng(9)
+    texts = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(int(random.integers(5, 120)))]
+        for _ in range(15):
+            texts.append(" ".join(_edited(random, base, random.choice([0, 0.01, 0.03]))))
+    texts += [" ".join(f"w{i}" for i in random.integers(0, 9, 12)) for _ in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))})
+    part = list(range(len(sets)))
+    for _ in range(len(sets)):
+        for i, x in enumerate(sets):
+            for j in range(i):
+                if 100 * len(x & sets[j]) >= 85 * len(x | sets[j]):
+                    part[i] = part[j] = min(part[i], part[j])
+    found = {r["doc_id"]: r for r in ngrams.similar_groups(frame).collect()}
+    assert {i: r["component_id"] for i, r in found.items()} == dict(enumerate(part))
+    assert all(r["n_shingles"] == len(sets[i]) for i, r in found.items())
+    assert len(set(part)) < len(part)
+
+
+def test_ranked_search(spark, odd, empty):
+    items = spark.createDataFrame(
+        [(1, "the DAY", 5), (2, None, 6), (None, "Text!", 7), (4, "nowhere", 8), (1, "the DAY", 9)],
+        "item_id long, text string, score int",
+    )
+    found = lexical.search(odd, items, top=3).collect()
+    got = sorted((r["item_id"] or 0, r["rank"], r["doc_id"]) for r in found)
+    assert got == [(0, 1, 1), (0, 2, 5), (0, 3, 5), (1, 1, 4), (1, 1, 4)]
+    assert lexical.search(empty, items).count() == 0
+    assert lexical.search(odd, items.limit(0)).count() == 0
+
+
+def test_ranked_search_in_small_blocks_and_groups(spark, monkeypatch):
+    whole = {}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    for name, value in ((None, None), ("BLOCK_DOCS", 7), ("BLOCK_TERMS", 50), ("QUERY_TERMS", 60)):
+        if name:
+            monkeypatch.setattr(lexical, name, value)
+        whole[name] = sorted(map(tuple, lexical.search(docs, items, top=9).collect()))
+    assert whole["BLOCK_DOCS"] == whole["BLOCK_TERMS"] == whole["QUERY_TERMS"] == whole[None]
+    assert len(whole[None]) > 100
+
+
 def test_damaged_archives_are_refused():
     data, _ = warc.record(7, "http://a.org", "2026-01-01T00:00:07Z", b"x" * 100_000, None, False)
     whole = warc.packed(data) * 2

@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from unicodedata import category
 
 import numpy as np
 import pytest
@@ -14,7 +15,8 @@ from parity import connect, difference
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerstar.llm import licenses, pieces
+from ledgerstar.llm import licenses, pieces, toxicity
+from ledgerstar.llm.common import table
 from ledgerstar.llm.queries import BYTE_BPE, ORACLES, PIECE_BPE, QUERIES
 
 
@@ -36,7 +38,6 @@ def token_ids(docs):
 
 def library_ids(docs):
     tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     return {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in docs.items()}
 
 
@@ -120,6 +121,72 @@ def test_op6(spark, con, docs):
     assert sum(clean) <= 0.02 * len(clean)
 
 
+def brute_toxicity(spark, con, docs):
+    """Tokens, clauses, events and scores once more, from the fitted weights alone."""
+    grammar = toxicity.fit(
+        table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    )
+    listed = {w: "rnpt"[k] for k in (3, 2, 1, 0) for w in (
+        toxicity.REPORTS, toxicity.NEGATIONS, toxicity.TARGETS, toxicity.THREATS)[k]}
+
+    def lexical(word):
+        if word in listed:
+            return 0.0
+        key = hashlib.sha256(word.encode()).hexdigest() if len(word) >= 64 else word
+        if key in grammar.words:
+            return grammar.words[key]
+        for size in (6, 5, 4):
+            if word[:size] in grammar.stems:
+                return grammar.stems[word[:size]]
+        return 0.0
+
+    def spelled(text):
+        """Words go on while characters are letters, digits or combining marks."""
+        found, word = [], ""
+        for c in text.lower() + "\n":
+            if c.isalnum() or (word and category(c).startswith("M")):
+                word += c
+                continue
+            if word:
+                found.append(word)
+            word = ""
+            if c in ".!?;:,\n":
+                found.append(None)
+        return found
+
+    def events(clause):
+        for at, word in enumerate(clause):
+            own = lexical(word)
+            before = clause[:at]
+            near = lambda kind, reach: any(listed.get(w) == kind for w in before[-reach:])
+            reported, negated = any(listed.get(w) == "r" for w in before), near("n", 3)
+            if own:
+                kind = "negated" if negated else "reported" if reported else None
+                yield kind or ("targeted" if near("p", 4) else "insult"), (own / 4) ** 3
+            elif listed.get(word) == "p" and near("t", 4):
+                yield ("mild_threat" if negated or reported else "threat"), 1.0
+
+    scores = {}
+    for doc_id, text in docs.items():
+        totals, clause = dict.fromkeys(toxicity.EVENTS, 0.0), []
+        for word in spelled(text):
+            if word is not None:
+                clause.append(word)
+                continue
+            for event, size in events(clause):
+                totals[event] += size
+            clause = []
+        x = [1.0, *np.log1p([totals[e] for e in toxicity.EVENTS])]
+        scores[doc_id] = 1 / (1 + np.exp(-np.clip(x @ grammar.weights, -30, 30)))
+    return scores
+
+
+def test_op6_equals_a_plain_grammar(spark, con, docs):
+    wanted = brute_toxicity(spark, con, docs)
+    for r in rows_of(spark, "op6_toxicity"):
+        assert abs(r["score"] - wanted[r["doc_id"]]) < 1e-9
+
+
 def brute_fingerprint(text):
     words = [w for w in re.split("[\x20\x09-\x0d]+", lower(text)) if w]
     if not words:
