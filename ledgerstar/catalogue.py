@@ -30,6 +30,7 @@ from ledgerstar.operators.columns import (
     to_int,
 )
 from ledgerstar.operators.day_checks import DayCounts
+from ledgerstar.operators.day_profile import ERROR_BOUND, DaySketches
 from ledgerstar.operators.dedup import LatestRows, concat, latest_per_key, sort_rows
 from ledgerstar.operators.registry import KeyRegistry
 from ledgerstar.plans import bronze, dimensions, gold, medallion, silver
@@ -202,6 +203,14 @@ def partitioned_fact(spark, sf_dir):
     return read_parquet(spark, path, schema)
 
 
+def rebalanced_days(spark, sf_dir):
+    """Orders in folders by day, where a hot day would be split over tasks."""
+    orders = bronze.with_day(tables(spark, sf_dir)["orders"], "o_orderdate")
+    path = scratch_path(spark, "by-day")
+    write_partitioned(orders, path, DAY_PARTITIONS)
+    return read_parquet(spark, path, orders.schema)
+
+
 def rebalanced_fact(spark, sf_dir):
     """Orders in folders by year; the adaptive plan sizes the tasks."""
     orders = bronze.with_day(tables(spark, sf_dir)["orders"], "o_orderdate")
@@ -670,6 +679,25 @@ def profile_table(spark, sf_dir):
     return profile.profile(orders.withColumn("o_orderstatus", status))
 
 
+def sketched_profile(spark, sf_dir):
+    """The profile of the orders of 1995 and 1996 from sketches per day, written in two runs.
+
+    ``close`` says whether the distinct count lies within the stated bound of the true one.
+    """
+    orders = bronze.with_day(tables(spark, sf_dir)["orders"], "o_orderdate")
+    orders = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    kept = DaySketches(spark, scratch_path(spark, "sketches"))
+    early = F.col("year") < "1996"
+    for run in (orders.filter(early), orders.filter(~early)):
+        kept.keep(kept.stage(run, scratch_path(spark, "staged")))
+    found = kept.profile("1995-01-01", "1996-12-31")
+    years = orders.filter(F.col("year").isin("1995", "1996")).drop(*DAY_PARTITIONS)
+    true = profile.profile(years).select("column", F.col("distinct").alias("true"))
+    away = F.abs(F.col("distinct") - F.col("true")) <= F.col("true") * ERROR_BOUND
+    joined = found.join(true, "column").withColumn("close", away)
+    return joined.select("position", "column", "type", "rows", "nulls", "close")
+
+
 def schema_report(spark, sf_dir):
     return profile.schema_report(tables(spark, sf_dir)["lineitem"], count_nulls=True)
 
@@ -911,6 +939,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_fact": partitioned_fact,
     "rebalanced_fact": rebalanced_fact,
+    "rebalanced_days": rebalanced_days,
     "partition_pruned_read": partition_pruned_read,
     "day_overwrite": day_overwrite,
     "incremental_load": incremental_load,
@@ -968,6 +997,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_key_count": distinct_key_count,
     "distinct_values": distinct_values,
     "profile_table": profile_table,
+    "sketched_profile": sketched_profile,
     "schema_report": schema_report,
     "unique_failures": unique_failures,
     "not_null_tests": not_null_tests,

@@ -250,6 +250,7 @@ from customer""",
     "parquet_roundtrip": "select * from part",
     "partitioned_fact": f"select *, {_day_parts('o_orderdate')} from orders",
     "rebalanced_fact": f"select *, {_day_parts('o_orderdate')} from orders",
+    "rebalanced_days": f"select *, {_day_parts('o_orderdate')} from orders",
     "partition_pruned_read": f"""
 select *, {_day_parts("o_orderdate")} from orders
 where o_orderdate >= date '1997-12-01' and o_orderdate < date '1998-01-01'""",
@@ -399,6 +400,13 @@ select count(*) as "rows", count(distinct (l_orderkey, l_linenumber)) as distinc
         "(select * replace (nullif(o_orderstatus, 'P') as o_orderstatus) from orders) o",
         _ORDER_TYPES,
     ),
+    "sketched_profile": f"""
+select position, "column", type, "rows", nulls, true as close
+from ({_profile(
+    "(select * replace (nullif(o_orderstatus, 'P') as o_orderstatus) from orders "
+    "where year(o_orderdate) in (1995, 1996)) o",
+    _ORDER_TYPES,
+)}) p""",
     "schema_report": f"""
 select position, "column", type, nulls from ({_profile("lineitem", _LINE_TYPES)}) p""",
     "unique_failures": """

@@ -7,6 +7,7 @@ from test_jobs import AS_OF, HEADER, flat, landed, line  # noqa: F401
 from ledgerstar.operators import checks
 from ledgerstar.operators.checks import DataTestFailure
 from ledgerstar.operators.day_checks import DayCounts
+from ledgerstar.operators.day_profile import ERROR_BOUND, DaySketches
 from ledgerstar.plans import bronze, dimensions, gold, medallion
 from ledgerstar.schemas import GOLD_TESTS, LANDING_FACT
 from ledgerstar.sources.parquet import read_parquet, write_observed
@@ -197,3 +198,32 @@ def test_a_named_fact_learns_of_touched_days_alone(spark, landed, tmp_path):  #
     ]
     assert spark.table("daily_fact_transactions").count() == 4
     assert spark.table("daily_dim_customer").count() == 2
+
+
+def test_sketches_of_days_merge(spark, tmp_path):
+    def day(name, low, high):
+        made = spark.range(low, high).selectExpr(
+            "id as k", "id % 7 as few", "cast(null as double) as none",
+            "'2020' as year", "'01' as month", f"'{name}' as day",
+        )
+        return made
+
+    kept = DaySketches(spark, str(tmp_path / "kept"))
+    assert kept.profile().isEmpty()
+    parts = [("01", 0, 5_000), ("02", 2_500, 9_000), ("03", 100_000, 130_000)]
+    for name, low, high in parts:
+        kept.keep(kept.stage(day(name, low, high), str(tmp_path / f"s{name}")))
+
+    def figures(*days):
+        return {r["column"]: (r["rows"], r["nulls"], r["distinct"]) for r in kept.profile(*days).collect()}
+
+    whole = figures()
+    assert whole["few"] == (41_500, 0, 7) and whole["none"] == (41_500, 41_500, 0)
+    assert abs(whole["k"][2] - 39_000) <= 39_000 * ERROR_BOUND
+    two = figures("2020-01-01", "2020-01-02")["k"]
+    assert two[0] == 11_500 and abs(two[2] - 9_000) <= 9_000 * ERROR_BOUND
+    # The third day again, now small: only its own figures change.
+    kept.keep(kept.stage(day("03", 0, 10), str(tmp_path / "again")))
+    assert figures("2020-01-03")["k"] == (10, 0, 10)
+    kept.compact(str(tmp_path / "compact"))
+    assert figures("2020-01-01", "2020-01-02")["k"] == two and figures("2020-01-03")["k"] == (10, 0, 10)
