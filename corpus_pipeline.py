@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerstar.llm import exact, packing, simhash, toxicity
 from ledgerstar.llm.common import table
 from ledgerstar.llm.queries import BYTE_BPE
-from ledgerstar.session import materialize
+from ledgerstar.session import delete, materialize, scratch, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -89,7 +89,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``; what a stage wrote on its way goes when its output is written."""
+    docs, paths = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        paths.append(scratch_path(spark, name))
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(paths[-1])
+        docs = spark.read.schema(kept.schema).parquet(paths[-1])
+        for path in paths[:-1]:
+            delete(spark, path)
     return STAGES[-1][1](spark, docs, sf_dir)
