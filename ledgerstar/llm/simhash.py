@@ -283,6 +283,7 @@ def _unsigned(rank: Column) -> Column:
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable.
 
+    ``component`` names the component by one of its fingerprints, also where ids repeat.
     Documents link when their fingerprints differ in at most ``bits`` bits. Equal fingerprints
     are one code, so copies of any number cost one comparison. Null and empty texts have the
     fingerprint zero and link like others; null ids count as absent when the smallest id is
@@ -305,7 +306,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFra
     )
     smallest = materialize(smallest, "smallest")
     classes = attach(named, smallest, "component", "codes", codes.count())
-    classes = materialize(classes.select("code", "docs", "component_id"), "classes")
+    classes = materialize(classes.select("code", "docs", "component_id", "component"), "classes")
+    digits = lambda code: F.lpad(F.lower(F.hex(code)), 16, "0").alias
     return attach(coded, classes, "code", "docs", coded.count()).select(
-        "doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", digits("code")("fingerprint"), "component_id", digits("component")("component")
     )

@@ -464,9 +464,10 @@ def test_near_copies_go_by_id_and_fingerprint(spark, rows):
 def test_near_copies_that_share_the_smallest_id(spark, rows):
     base = " ".join(f"w{i}" for i in range(400))
     texts = [(8, base), (8, base + " x"), (9, base), (8, base), (7, "other words here now")]
+    texts += [(8, "not like the others with this id"), (None, "no id"), (None, "no id")]
     docs = rows("doc_id long, text string", *texts)
     left = corpus_pipeline.drop_near_copies(spark, docs, "")
-    assert sorted(r["doc_id"] for r in left.collect()) == [7, 8]
+    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 7, 8, 8]
 
 
 def test_captures_are_in_order_of_any_second(spark, rows):
