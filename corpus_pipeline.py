@@ -51,16 +51,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays.
 
-    Rows are told apart by id and fingerprint. Where rows of a group share the smallest id, the
-    one with the smallest fingerprint stays, of rows that share both one of them. Rows without
-    an id are dropped if their group has an id, else nothing tells them apart.
+    Where rows of a group share the smallest id, or none has an id, the one with the smallest
+    fingerprint of these stays, and of rows that share both one of them.
     """
     found = materialize(simhash.near_duplicates(docs), "near_duplicates")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    seen = found.filter(first & F.col("doc_id").isNotNull()).groupBy("doc_id", "fingerprint")
+    seen = found.filter(first).groupBy("component", "doc_id", "fingerprint")
     codes = materialize(seen.agg(F.count(F.lit(1)).alias("rows")), "first_codes")
-    least = codes.groupBy("doc_id").agg(F.min("fingerprint").alias("least"), F.count("*").alias("n"))
-    others = codes.join(least.filter("n > 1"), "doc_id").filter("fingerprint <> least")
+    least = codes.groupBy("component").agg(
+        F.min("fingerprint").alias("least"), F.count(F.lit(1)).alias("n")
+    )
+    others = codes.join(least.filter("n > 1"), "component").filter("fingerprint <> least")
     gone = found.filter(~first).select("doc_id", "fingerprint").distinct()
     gone = gone.unionByName(others.select("doc_id", "fingerprint"))
     gone = materialize(gone.toDF("gone_id", "gone_code"), "near_copies")
