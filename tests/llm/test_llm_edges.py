@@ -193,6 +193,29 @@ def test_pivots_equal_brute_force_in_many_blocks(spark, monkeypatch):
     assert got == sorted(wanted)
 
 
+def test_pivots_send_no_block_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "CANDIDATES", 16)
+    monkeypatch.setattr(pivots, "QUERIES", 3)
+    random = np.random.default_rng(6)
+    values = np.floor(random.normal(size=(400, 4)) * 9)
+    rows = [(i // 2, v.tolist()) for i, v in enumerate(values)]  # every id twice
+    rows += [(1000 + i, [float(i), 1.0]) for i in range(40)]  # and another length
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>").repartition(3)
+    asked = F.col("vec_id") % 10 == 0
+    wanted = []
+    for i, x in rows:
+        if i % 10 == 0:
+            others = [(-np.dot(x, y), j) for j, y in rows if j != i and len(x) == len(y)]
+            wanted += [(i, n, j, int(-s)) for n, (s, j) in enumerate(sorted(others)[:5], 1)]
+    for share in (8, 1 << 14):  # groups of several blocks, and of one
+        monkeypatch.setattr(pivots, "SHARE", share, raising=False)
+        found = pivots.top_products(frame, asked, top=5, sample=20)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Generate" not in plan
+        got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+        assert got == sorted(wanted)
+
+
 def test_toxicity(spark, odd, empty):
     labels = spark.createDataFrame(
         [(1, 0, 1), (4, 0, 0), (5, 0, None), (None, 0, 1), (1, 0, 1)],
