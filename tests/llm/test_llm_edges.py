@@ -564,6 +564,43 @@ def test_ngram_groups(spark, odd, empty):
     assert ngrams.similar_groups(blank).count() == 3
 
 
+def test_ngram_groups_keep_little_on_disk(spark, tmp_path):
+    """The rows of signatures do not stay, and no join shuffles all texts, at whatever size."""
+    words = [f"w{i}" for i in np.random.default_rng(3).integers(0, 1 << 30, 90_000)]
+    texts = [" ".join(words[90 * i : 90 * i + 90]) for i in range(1000)]
+    texts += [f"{text} more" for text in texts[:20]]  # the only ones that link
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    before = spark.sparkContext.getCheckpointDir()
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {r["doc_id"]: r["component_id"] for r in ngrams.similar_groups(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+        if before:
+            spark.sparkContext.setCheckpointDir(before)
+    assert found == {i: i - 1000 if i >= 1000 else i for i in range(1020)}
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.rglob("ledgerstar/*-*")}
+    assert not left & {"profiles", "signed"} and "every" in left
+
+
+@pytest.mark.parametrize("words", [64, 1 << 20])
+def test_ngram_texts_are_held_against_a_bitmap_first(spark, monkeypatch, words):
+    monkeypatch.setattr(ngrams, "WORDS", words)
+    narrow = spark.createDataFrame([(i, "x") for i in [*range(3000), None]], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 3000, 3)], "first_id long")
+    found = ngrams._held(narrow, ids)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" in plan and "SortMergeJoin" in plan
+    assert sorted(r["doc_id"] for r in found.collect()) == list(range(0, 3000, 3))
+    bitmap, size = ngrams._bitmap(ids, "first_id")
+    assert size == (64 if words == 64 else 256)
+    [row] = bitmap.collect()
+    assert len(row["bitmap"]) == size
+    assert ngrams._held(narrow, ids.limit(0)).count() == 0
+
+
 def _edited(random, base, share):
     return [f"n{random.integers(1 << 30)}" if random.random() < share else w for w in base]
 
